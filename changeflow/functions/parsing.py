@@ -72,6 +72,13 @@ def open_envelope(df: DataFrame, value: str = "value", with_schema: bool = False
     return parsed.select(*df.columns, *cols, *extra, F.col(f"_env.{CORRUPT}").alias(CORRUPT))
 
 
+def unwrap(df: DataFrame, value: str = "value") -> DataFrame:
+    """F5 as text: the bare event of either form in ``value``."""
+    text = F.col(value).cast("string")
+    parsed = once(df.withColumn(value, text), "_p", json_struct(value, "payload STRING"))
+    return parsed.withColumn(value, F.coalesce("_p.payload", value)).drop("_p")
+
+
 def envelope_columns(df: DataFrame, value: str = "value", flavour: str = "text") -> DataFrame:
     """The raw event as six columns.
 

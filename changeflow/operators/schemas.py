@@ -300,14 +300,16 @@ def schema_versions(events: DataFrame, table: str = "_table", schema: str = "sch
     ranged = rows.repartitionByRange("_t", "_o").withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy("_range", "_t").orderBy("_o")
     marked = ranged.select(
-        "_t", "_o", "_s", F.lag("_s").over(inside).alias("_prev"),
+        "_t", "_o", "_s", "_range", F.lag("_s").over(inside).alias("_prev"),
         F.lag(F.lit(True)).over(inside).isNull().alias("_first"),
         F.lead(F.lit(True)).over(inside).isNull().alias("_last"))
-    across = Window.partitionBy("_t").orderBy("_o")
-    edges = marked.where("_first OR _last").withColumn("_prev", F.lag("_s").over(across)) \
-        .where("_first AND (_prev IS NULL OR _prev <> _s)")
-    changes = marked.where("NOT _first AND _prev <> _s")
-    return edges.unionByName(changes).select(
+    edge = F.col("_first") | F.col("_last")
+    across = Window.partitionBy("_t", F.when(edge, -1).otherwise(F.col("_range"))).orderBy("_o")
+    # One evaluation of the ranges: edges and inner changes must see the same cut.
+    heads = marked.where("_first OR _last OR _prev <> _s").withColumn("_edge_prev", F.lag("_s").over(across))
+    changed = F.when(F.col("_first"), F.col("_edge_prev").isNull() | (F.col("_edge_prev") != F.col("_s"))) \
+        .otherwise(F.col("_prev") != F.col("_s"))
+    return heads.where(changed).select(
         F.col("_t").alias(table), F.col("_o").alias(order), F.col("_s").alias(schema))
 
 
