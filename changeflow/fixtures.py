@@ -32,6 +32,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table whose rows are about to be turned into text.
+
+    A test table is one small file and would be one task. Tables of more splits than
+    cores are read as they are, without a shuffle.
+    """
+    rows = read(spark, sf_dir, table)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, rows.columns[0])
+
+
 def schema_block(columns: list[dict]) -> str:
     """The schema part of an event with row images of these columns."""
     images = [{"field": f, "type": "struct", "optional": True, "fields": columns} for f in ("before", "after")]
@@ -73,7 +84,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq 1 always (snapshot row if k % 5 = 0, else create), seq 2 an update if k % 3 = 0,
     seq 3 a delete if k % 7 = 0.
     """
-    o = read(spark, sf_dir, "orders").select(
+    o = read_spread(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", cents("o_totalprice").alias("c"), millis("o_orderdate").alias("t"))
     k = F.col("o_orderkey")
 
@@ -101,7 +112,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creates of customers, with negative balances."""
-    c = read(spark, sf_dir, "customer")
+    c = read_spread(spark, sf_dir, "customer")
     image = F.struct("c_custkey", "c_name", unscaled(cents("c_acctbal")).alias("c_acctbal"))
     rows = c.select("c_custkey", F.lit(1).alias("seq"), F.lit("c").alias("op"),
                     F.lit(None).cast("string").alias("before"), image.alias("after"), F.lit(0).cast("bigint").alias("ts_ms"))
@@ -112,7 +123,7 @@ def noisy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events plus, per order, rows that are not data changes: heartbeats, a
     truncate without image, a JSON array and a broken text."""
     k = F.col("o_orderkey")
-    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    o = read_spread(spark, sf_dir, "orders").select("o_orderkey")
     noise = o.select(
         F.when(k % 4 == 0, F.concat(F.lit('{"ts_ms":'), k.cast("string"), F.lit("}")))
         .when(k % 4 == 1, F.lit('{"op":"t","before":null,"after":null,"source":{"table":"orders"}}'))
@@ -124,7 +135,7 @@ def noisy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema-less JSON of events; ``extra`` appears in odd ids, ``value`` is integral
     in every third row, ``big`` needs 64 bits, ``nothing`` is always null."""
-    e = read(spark, sf_dir, "events")
+    e = read_spread(spark, sf_dir, "events")
     number = F.when(F.col("event_id") % 3 == 0, F.floor("value").cast("string")).otherwise(F.format_string("%.2f", "value"))
     text = F.concat(
         F.lit('{"event_type":"'), "event_type", F.lit('","user_id":'), F.col("user_id").cast("string"),
@@ -140,7 +151,7 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Access-log lines of events in base64. Every 101st is plain text, every 103rd
     has only 30 fields; ``-`` stands for numbers when event_id % 7 = 0."""
-    e = read(spark, sf_dir, "events")
+    e = read_spread(spark, sf_dir, "events")
     i = F.col("event_id")
 
     def num(value: Column) -> Column:
@@ -168,20 +179,10 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(i % 101 == 0, line).otherwise(F.base64(line.cast("binary"))).alias("value"))
 
 
-# The wide message, names and types in order.
-WIDE_MESSAGE = (
-    "uuid STRING, customerId BIGINT, transactionAmount BIGINT, sourceIp STRING, status STRING, "
-    "transactionTime STRING, user_name STRING, phone_number STRING, product_id INT, product_name STRING, "
-    "product_type STRING, manufacturing_date INT, price DOUBLE, unit DOUBLE, email STRING, address STRING, "
-    "city STRING, country STRING, ip_address STRING, website STRING, company_name STRING, department STRING, "
-    "salary DOUBLE, age INT, gender STRING, created_date STRING, last_login STRING, score INT"
-)
-
-
 def wide_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders joined with their customers as 28-field JSON; uuid is missing when
     o_orderkey % 11 = 0, and one text in 13 is broken."""
-    o, c = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    o, c = read_spread(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
     k, ck = F.col("o_orderkey"), F.col("c_custkey")
     s = lambda col: col.cast("string")

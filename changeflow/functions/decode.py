@@ -41,26 +41,31 @@ def fit_decimal(value: Column | str, precision: int, scale: int) -> Column:
     return _col(value).try_cast(f"decimal({precision},{scale})")
 
 
-def _twos_complement(raw: Column) -> Column:
-    """Base64 big-endian two's complement -> DECIMAL(38,0), NULL beyond 38 digits."""
-    digits = F.hex(F.try_to_binary(raw, F.lit("base64")))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once and the expression written once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _twos_complement(digits: Column) -> Column:
+    """Hex digits of a big-endian two's complement -> DECIMAL(38,0), NULL beyond that."""
     n = F.length(digits)
     sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
     short = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("bigint").cast("decimal(38,0)")
     # Bytes beyond sixteen may only repeat the sign.
-    padding_only = (n <= 32) | (
-        F.substr(digits, F.lit(1), n - 32) == F.repeat(sign, n - 32)
-    )
+    fits = (n <= 32) | (F.substr(digits, F.lit(1), n - 32) == F.repeat(sign, n - 32))
     full = F.right(F.lpad(digits, F.greatest(n, F.lit(32)), sign), F.lit(32))
-    hi = F.conv(F.substring(full, 1, 16), 16, -10).cast("bigint").cast("decimal(20,0)")
-    lo = F.conv(F.substring(full, 17, 16), 16, 10).cast("decimal(20,0)")
     two64 = F.expr(TWO_64)
-    # For a negative high half, one 2^64 moves to the low half: hi * 2^64 alone would
-    # leave DECIMAL(38) near -10^38.
-    wide = F.when(
-        hi < 0, F.try_add(F.try_multiply(hi + 1, two64), lo - two64)
-    ).otherwise(F.try_add(F.try_multiply(hi, two64), lo)).cast("decimal(38,0)")
-    return F.when(n == 0, None).when(n <= 16, short).when(padding_only, wide)
+
+    def joined(h: Column) -> Column:
+        hi = F.conv(F.substring(h, 1, 16), 16, -10).cast("bigint").cast("decimal(20,0)")
+        lo = F.conv(F.substring(h, 17, 16), 16, 10).cast("decimal(20,0)")
+        # For a negative high half, one 2^64 moves to the low half: hi * 2^64 alone
+        # would leave DECIMAL(38) near -10^38.
+        return F.when(
+            hi < 0, F.try_add(F.try_multiply(hi + 1, two64), lo - two64)
+        ).otherwise(F.try_add(F.try_multiply(hi, two64), lo)).cast("decimal(38,0)")
+
+    return F.when(n == 0, None).when(n <= 16, short).when(fits, _let(full, joined))
 
 
 def decode_decimal(text: Column | str, precision: int = 38, scale: int = 18,
@@ -70,20 +75,20 @@ def decode_decimal(text: Column | str, precision: int = 38, scale: int = 18,
     Some base64 texts look like numbers (``1234``). ``auto`` reads them as numbers;
     ``mode="base64"`` or ``"text"`` states the encoding.
     """
+    def read(raw: Column, shift: Column) -> Column:
+        if mode == "text":
+            return fit_decimal(raw, precision, scale)
+        coded = _let(F.hex(F.try_to_binary(raw, F.lit("base64"))), lambda h: fit_decimal(
+            F.concat(_twos_complement(h).cast("string"), F.lit("E"), (-shift).cast("string")), precision, scale))
+        if mode == "base64":
+            return coded
+        return F.when(raw.rlike(PLAIN_NUMBER), fit_decimal(raw, precision, scale)).otherwise(coded)
+
     text = _col(text)
-    nested = F.from_json(F.when(text.startswith("{"), text), "scale INT, value STRING",
-                         {"mode": "PERMISSIVE"})
-    raw = F.coalesce(nested["value"], text)
-    shift = F.coalesce(nested["scale"], F.lit(scale))
-    plain = fit_decimal(raw, precision, scale)
-    coded = fit_decimal(
-        F.concat(_twos_complement(raw).cast("string"), F.lit("E"), (-shift).cast("string")),
-        precision, scale)
-    if mode == "text":
-        return plain
-    if mode == "base64":
-        return coded
-    return F.when(raw.rlike(PLAIN_NUMBER), plain).otherwise(coded)
+    nested = F.from_json(text, "scale INT, value STRING", {"mode": "PERMISSIVE"})
+    return F.when(
+        text.startswith("{"), _let(nested, lambda v: read(v["value"], F.coalesce(v["scale"], F.lit(scale))))
+    ).otherwise(read(text, F.lit(scale)))
 
 
 def from_millis(n: Column) -> Column:

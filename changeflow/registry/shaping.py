@@ -11,6 +11,7 @@ from changeflow.operators.routing import route_by_field as route
 from changeflow.registry import query
 from changeflow.registry.decoding import EVENTS_SQL, MONEY_SQL, order_changes
 from changeflow.sinks import search
+from changeflow.sources.declared import USER_TRANSACTION
 
 WIDE_SQL = """
     msg AS (SELECT 'id-' || o_orderkey AS uuid, c_custkey AS "customerId",
@@ -31,7 +32,7 @@ WIDE_SQL = """
 
 def messages(spark, sf_dir):
     """Wide messages read leniently: a broken text is an all-null row."""
-    return declared_json(X.wide_messages(spark, sf_dir), X.WIDE_MESSAGE, on_error="null")
+    return declared_json(X.wide_messages(spark, sf_dir), USER_TRANSACTION, on_error="null")
 
 
 def event_time():

@@ -23,12 +23,28 @@ def hop_sql(keys: str, aggregates: str, slide: str = "20 second", size: str = "6
     SELECT {keys}, {aggregates} FROM w GROUP BY {keys}, window_end {having}"""
 
 
-@query("hop_count_by_user", hop_sql("user_id", "count(*) AS cnt, window_end"))
+@query("hop_count_by_user", f"""
+    SELECT user_id, date_trunc('hour', window_end) AS hour, count(*) AS n_windows, CAST(sum(cnt) AS BIGINT) AS total,
+           max(cnt) AS busiest, CAST(sum(cnt * (epoch_us(window_end) // 20000000)) AS BIGINT) AS checksum
+    FROM ({hop_sql("user_id", "count(*) AS cnt, window_end")}) GROUP BY ALL""")
 def hop_count_by_user(spark, sf_dir):
-    """A1, A5: events per user in every 60-minute window, moving by 20 seconds."""
+    """A1, A5: events per user in every 60-minute window, moving by 20 seconds; all
+    windows enter the hourly digest."""
+    return digest(user_windows(spark, sf_dir), "user_id", F.date_trunc("hour", "window_end").cast("timestamp_ntz").alias("hour"))
+
+
+def user_windows(spark, sf_dir):
+    """A1: one row per user and window."""
     return hop_panes(read(spark, sf_dir, "events"), "ts", ["user_id"]).select("user_id", "cnt", "window_end")
 
 
+def digest(windows, *keys):
+    number = F.call_function("div", F.unix_micros(F.col("window_end").cast("timestamp")), F.lit(20_000_000))
+    return windows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_windows"), F.sum("cnt").alias("total"), F.max("cnt").alias("busiest"),
+        F.sum(F.col("cnt") * number).alias("checksum"))
+
+
 ORDER_STATS = (Stat("sum", "total_unit", "unit", "int"), Stat("avg", "avg_price", "price", "float"))
 
 
@@ -57,11 +73,7 @@ def hop_sum_avg_by_type(spark, sf_dir):
     FROM ({hop_sql("event_type", "count(*) AS cnt, window_end")}) GROUP BY event_type""")
 def hop_count_panes(spark, sf_dir):
     """A4: a digest of all 20-second windows per event type."""
-    w = hop_panes(read(spark, sf_dir, "events"), "ts", ["event_type"])
-    number = F.call_function("div", F.unix_micros(F.col("window_end").cast("timestamp")), F.lit(20_000_000))
-    return w.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n_windows"), F.sum("cnt").alias("total"), F.max("cnt").alias("busiest"),
-        F.sum(F.col("cnt") * number).alias("checksum"))
+    return digest(hop_panes(read(spark, sf_dir, "events"), "ts", ["event_type"]), "event_type")
 
 
 COARSE = Hop(3600, 1200)

@@ -1,0 +1,116 @@
+"""F1-F16, C2 value tables."""
+
+import base64
+import decimal
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from changeflow.functions import accesslog, decode as D, parsing
+from changeflow.operators.schemas import map_type
+from conftest import rows
+
+DEC = decimal.Decimal
+
+
+def coded(n: int) -> str:
+    return base64.b64encode(n.to_bytes(max(1, (n.bit_length() + 8) // 8), "big", signed=True)).decode()
+
+
+def one(spark, column, value, ddl="v STRING"):
+    return spark.createDataFrame([(value,)], ddl).select(column).first()[0]
+
+
+@pytest.mark.parametrize("text,scale,want", [
+    ("123.45", 2, "123.45"), ("MDk=", 2, "123.45"), ('{"scale":3,"value":"z8c="}', 3, "-12.345"),
+    ("1E3", 2, "1000.00"), ("-0.005", 2, "-0.01"), ("", 2, None), ("?", 2, None), ("99999999999", 2, None),
+    (coded(0), 2, "0.00"), (coded(-1), 2, "-0.01"), ('{"value":"7.5"}', 2, "7.50"),
+])
+def test_decimal_values(spark, text, scale, want):
+    got = one(spark, D.decode_decimal("v", 12, scale), text)
+    assert got == (DEC(want) if want is not None else None)
+
+
+def test_decimal_mode_decides_ambiguous_text(spark):
+    assert one(spark, D.decode_decimal("v", 12, 2), "1234") == DEC("1234.00")
+    n = int.from_bytes(base64.b64decode("1234"), "big", signed=True)
+    assert one(spark, D.decode_decimal("v", 12, 2, "base64"), "1234") == DEC(n).scaleb(-2)
+
+
+def test_decimal_round_trip(spark):
+    edge = 10 ** 38 - 1
+    cases = [edge, -edge, 2 ** 63, -2 ** 63, 2 ** 64, -2 ** 64, 2 ** 64 - 1, -2 ** 64 - 1, 2 ** 120, -2 ** 120, 12345, -12345, 0]
+
+    @settings(max_examples=1, deadline=None)
+    @given(st.lists(st.integers(-edge, edge), min_size=200, max_size=200))
+    def check(random):
+        values = cases + random
+        df = spark.createDataFrame([(i, coded(v)) for i, v in enumerate(values)], "i INT, v STRING")
+        got = df.select("i", D.decode_decimal("v", 38, 0, "base64")).orderBy("i").collect()
+        assert [int(r[1]) for r in got] == values
+
+    check()
+
+
+def test_decimal_beyond_38_digits_is_null(spark):
+    for n in (10 ** 38, -10 ** 38, 2 ** 127 - 1, 2 ** 200):
+        assert one(spark, D.decode_decimal("v", 38, 0, "base64"), coded(n)) is None
+    padded = base64.b64encode((-5).to_bytes(40, "big", signed=True)).decode()
+    assert one(spark, D.decode_decimal("v", 38, 0, "base64"), padded) == -5
+
+
+@pytest.mark.parametrize("base,logical,parameters,want", [
+    ("bytes", None, {"scale": "2", "connect.decimal.precision": "12"}, "decimal(12,2)"),
+    ("bytes", None, {}, "binary"), ("int16", None, None, "int"), ("int64", None, None, "bigint"),
+    ("int64", "io.debezium.time.Timestamp", None, "timestamp_ntz"), ("string", "io.debezium.time.ZonedTimestamp", None, "timestamp"),
+    ("int32", "io.debezium.time.Date", None, "date"), ("int64", "io.debezium.time.MicroTime", None, "bigint"),
+    ("struct", "io.debezium.data.VariableScaleDecimal", None, "decimal(38,18)"),
+    ("bytes", "org.apache.kafka.connect.data.Decimal", {"precision": "9", "scale": "1"}, "decimal(9,1)"),
+    ("float32", None, None, "float"), ("struct", "other.Name", None, "string"),
+])
+def test_map_type(base, logical, parameters, want):
+    assert map_type(base, logical, parameters) == want
+
+
+def test_nanos_before_2001_and_out_of_range(spark):
+    nano = "io.debezium.time.NanoTimestamp"
+    assert str(one(spark, D.decode_timestamp("v", nano), "1000000000123")) == "1970-01-01 00:16:40"
+    assert one(spark, D.decode_timestamp("v", "io.debezium.time.Timestamp"), str(2 ** 63 - 1)) is None
+    assert one(spark, D.decode_timestamp("v"), "no time") is None
+
+
+@pytest.mark.parametrize("text,target,strict,lenient", [
+    ("12", "int", 12, 12), ("12.9", "int", 12, 12), ("x", "int", None, 0), ("3000000000", "int", None, 0),
+    ("true", "boolean", True, True), ("0", "boolean", False, False), ("yes", "boolean", None, False),
+    ("1.5", "double", 1.5, 1.5), (None, "int", None, None),
+])
+def test_coerce(spark, text, target, strict, lenient):
+    assert one(spark, D.coerce("v", target), text) == strict
+    assert one(spark, D.coerce("v", target, zero_on_bad=True), text) == lenient
+
+
+def test_malformed_policy(spark):
+    df = spark.createDataFrame([('{"a":1}',), ("{",), (None,)], "value STRING")
+    assert rows(parsing.declared_json(df, "a INT")) == [(1,)]
+    assert rows(parsing.declared_json(df, "a INT", on_error="null")) == [(1,), (None,), (None,)]
+    with pytest.raises(Exception):
+        parsing.declared_json(df, "a INT", on_error="fail").collect()
+
+
+def test_log_keeps_trailing_empty_fields_and_reports_bad_numbers(spark):
+    fields = ["1733300000.123"] + ["0"] * 40
+    good = "\t".join(fields[:38] + ["", "", "7"] + ["extra"])
+    bad = "\t".join(["oops"] + fields[1:])
+    df = spark.createDataFrame([(good,), (bad,), ("a\tb",)], "value STRING")
+    ok, dead = accesslog.split_access_log(accesslog.parse_access_log(df, encoded=False))
+    assert rows(ok.select("timestamp", F.col("log_time").cast("string"), "csheaders", "csheaderscount")) == [
+        (1733300000.123, "2024-12-04 08:13:20.123", "", 7)]
+    assert sorted(rows(dead.select("error"))) == [("bad number",), ("short line",)]
+
+
+def test_parse_happens_once(spark):
+    df = spark.createDataFrame([("{}",)], "value STRING")
+    opened = parsing.open_envelope(df).where("op IS NOT NULL")
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
