@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from changeflow.functions.decode import decode_json_timestamp
 
 CORRUPT = "_corrupt"
 
@@ -35,20 +37,29 @@ def declared_json(df: DataFrame, ddl: str, value: str = "value",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of a declared schema from JSON text.
 
-    ``on_error``: ``fail`` stops the job, ``skip`` drops malformed rows, ``null`` keeps
-    them as all-null rows (what a lenient declared source does).
+    Timestamps follow ``timestamp_format`` if one is given, else ISO (with or without
+    zone), SQL style and epoch milliseconds are all read. ``on_error``: ``fail`` stops the
+    job, ``skip`` drops malformed rows, ``null`` keeps them as all-null rows.
     """
+    schema = T.StructType.fromDDL(ddl)
+    times = {} if timestamp_format else {
+        f.name: f.dataType for f in schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    wire = T.StructType([T.StructField(f.name, T.StringType() if f.name in times else f.dataType) for f in schema])
     options = {"mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE",
                "columnNameOfCorruptRecord": CORRUPT}
     if timestamp_format:
-        options["timestampFormat"] = timestamp_format
-        options["timestampNTZFormat"] = timestamp_format
-    full = ddl if on_error == "fail" else f"{ddl}, {CORRUPT} STRING"
-    parsed = once(df, "_row", F.from_json(F.col(value).cast("string"), full, options))
+        options |= {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
+    if on_error != "fail":
+        wire = wire.add(CORRUPT, T.StringType())
+    parsed = once(df, "_row", F.from_json(F.col(value).cast("string"), wire, options))
     if on_error == "skip":
         parsed = parsed.where(f"{value} IS NOT NULL AND _row.{CORRUPT} IS NULL")
-    rows = parsed.select(*keep, "_row.*")
-    return rows if on_error == "fail" else rows.drop(CORRUPT)
+
+    def column(name: str) -> Column:
+        text = F.col(f"_row.`{name}`")
+        return (decode_json_timestamp(text).cast(times[name]) if name in times else text).alias(name)
+
+    return parsed.select(*keep, *[column(f.name) for f in schema])
 
 
 def open_envelope(df: DataFrame, value: str = "value", with_schema: bool = False) -> DataFrame:
