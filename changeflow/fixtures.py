@@ -9,6 +9,8 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from changeflow.functions.parsing import once
+
 KEEP_NULLS = {"ignoreNullFields": "false"}
 ORDER_COLUMNS = [
     {"field": "o_orderkey", "type": "int64", "optional": False},
@@ -59,6 +61,10 @@ def unscaled(value: Column) -> Column:
     return F.base64(F.unhex(F.lpad(F.hex(value), 16, "0")))
 
 
+def money(value: str) -> Column:
+    return F.col(value).cast("decimal(18,2)").cast("string")
+
+
 def millis(ts: str) -> Column:
     return F.unix_millis(F.col(ts).cast("timestamp"))
 
@@ -136,7 +142,7 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema-less JSON of events; ``extra`` appears in odd ids, ``value`` is integral
     in every third row, ``big`` needs 64 bits, ``nothing`` is always null."""
     e = read_spread(spark, sf_dir, "events")
-    number = F.when(F.col("event_id") % 3 == 0, F.floor("value").cast("string")).otherwise(F.format_string("%.2f", "value"))
+    number = F.when(F.col("event_id") % 3 == 0, F.floor("value").cast("string")).otherwise(money("value"))
     text = F.concat(
         F.lit('{"event_type":"'), "event_type", F.lit('","user_id":'), F.col("user_id").cast("string"),
         F.lit(',"value":'), number, F.lit(',"props":'), "props",
@@ -158,12 +164,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(i % 7 == 0, F.lit("-")).otherwise(value.cast("string"))
 
     fields: list[Column] = []
-    numeric = {3: F.format_string("%.2f", "value"), 4: F.lit(200) + i % 5, 5: i, 10: F.col("user_id"),
-               14: F.format_string("%.2f", "value"), 29: i % 1000, 30: F.lit(0), 31: i % 77,
+    numeric = {3: money("value"), 4: F.lit(200) + i % 5, 5: i, 10: F.col("user_id"),
+               14: money("value"), 29: i % 1000, 30: F.lit(0), 31: i % 77,
                32: F.lit(1024) + i % 6000, 40: i % 31}
     for n in range(41):
         if n == 0:
-            fields.append(F.format_string("%d.%03d", F.call_function("div", millis("ts"), F.lit(1000)), F.pmod(millis("ts"), F.lit(1000))))
+            fields.append((millis("ts").cast("decimal(16,0)") / 1000).cast("decimal(16,3)").cast("string"))
         elif n in numeric:
             fields.append(num(numeric[n]))
         elif n == 6:
@@ -172,11 +178,9 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             fields.append(F.concat(F.lit("/item/"), F.col("user_id").cast("string")))
         else:
             fields.append(F.concat(F.lit(f"f{n}-"), i.cast("string")))
-    short = F.concat_ws("\t", *fields[:30])
-    full = F.concat_ws("\t", *fields)
-    line = F.when(i % 103 == 0, short).otherwise(full)
-    return e.select(i.alias("event_id"),
-                    F.when(i % 101 == 0, line).otherwise(F.base64(line.cast("binary"))).alias("value"))
+    parts = once(e.select(i, F.array(*fields).alias("_parts")), "_line", F.concat_ws(
+        "\t", F.when(i % 103 == 0, F.slice("_parts", 1, 30)).otherwise(F.col("_parts"))))
+    return parts.select(i, F.when(i % 101 == 0, F.col("_line")).otherwise(F.base64(F.col("_line").cast("binary"))).alias("value"))
 
 
 def wide_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,44 +28,55 @@ DECIMALS = ("org.apache.kafka.connect.data.Decimal", "io.debezium.data.VariableS
 # Integers above this are taken for microseconds when the logical type is unknown.
 MICROS_THRESHOLD = 1_000_000_000_000_000
 
+INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-TWO_64 = "18446744073709551616BD"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _integer(text: Column, target: str = "bigint") -> Column:
+    """``try_cast`` behind a pattern test: a failing cast of text costs an exception per
+    row, some hundred times the test."""
+    return F.when(text.rlike(INTEGER), text.try_cast(target))
+
+
 def fit_decimal(value: Column | str, precision: int, scale: int) -> Column:
-    """round half up to the scale, NULL when the precision is exceeded."""
-    return _col(value).try_cast(f"decimal({precision},{scale})")
+    """round half up to the scale, NULL when the precision is exceeded.
+
+    The magnitude is tested as a double first, so only borderline values can overflow
+    inside the cast.
+    """
+    text = _col(value).cast("string")
+    small = F.abs(text.try_cast("double")) <= F.lit(float(10 ** (precision - scale)))
+    return F.when(text.rlike(PLAIN_NUMBER) & small, text.try_cast(f"decimal({precision},{scale})"))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once and the expression written once."""
-    return F.transform(F.array(value), body)[0]
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``value`` computed once under ``name``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _twos_complement(digits: Column) -> Column:
-    """Hex digits of a big-endian two's complement -> DECIMAL(38,0), NULL beyond that."""
-    n = F.length(digits)
-    sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
-    short = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("bigint").cast("decimal(38,0)")
-    # Bytes beyond sixteen may only repeat the sign.
-    fits = (n <= 32) | (F.substr(digits, F.lit(1), n - 32) == F.repeat(sign, n - 32))
-    full = F.right(F.lpad(digits, F.greatest(n, F.lit(32)), sign), F.lit(32))
-    two64 = F.expr(TWO_64)
+def _fit_sql(number: str, precision: int, scale: int) -> str:
+    """``fit_decimal`` for a text that is known to be a number."""
+    return (f"CASE WHEN abs(CAST({number} AS DOUBLE)) <= 1E{precision - scale}D "
+            f"THEN try_cast({number} AS DECIMAL({precision},{scale})) END")
 
-    def joined(h: Column) -> Column:
-        hi = F.conv(F.substring(h, 1, 16), 16, -10).cast("bigint").cast("decimal(20,0)")
-        lo = F.conv(F.substring(h, 17, 16), 16, 10).cast("decimal(20,0)")
-        # For a negative high half, one 2^64 moves to the low half: hi * 2^64 alone
-        # would leave DECIMAL(38) near -10^38.
-        return F.when(
-            hi < 0, F.try_add(F.try_multiply(hi + 1, two64), lo - two64)
-        ).otherwise(F.try_add(F.try_multiply(hi, two64), lo)).cast("decimal(38,0)")
 
-    return F.when(n == 0, None).when(n <= 16, short).when(fits, _let(full, joined))
+# Hex digits h of a big-endian two's complement. Up to eight bytes are a BIGINT; more
+# are brought to 32 digits, beyond which digits may only repeat the sign. NULL if the
+# number needs more than sixteen bytes.
+_SIGN = "if(h >= '8', 'F', '0')"
+_SHORT = f"conv(lpad(h, 16, {_SIGN}), 16, -10)"
+_DIGITS_32 = (f"CASE WHEN length(h) <= 32 THEN lpad(h, 32, {_SIGN}) "
+              f"WHEN left(h, length(h) - 32) = repeat({_SIGN}, length(h) - 32) "
+              "AND (right(h, 32) >= '8') = (h >= '8') THEN right(h, 32) END")
+# The halves of 32 digits f joined in DECIMAL(38,0), NULL beyond it. For a negative high
+# half one 2^64 moves to the low half: hi * 2^64 alone would leave the type near -10^38.
+_HI = "CAST(CAST(conv(left(f, 16), 16, -10) AS BIGINT) AS DECIMAL(20,0))"
+_LO = "CAST(conv(right(f, 16), 16, 10) AS DECIMAL(20,0))"
+_TWO_64 = "18446744073709551616BD"
+_JOINED = (f"CAST(CASE WHEN f >= '8' THEN try_add(try_multiply({_HI} + 1, {_TWO_64}), {_LO} - {_TWO_64}) "
+           f"ELSE try_add(try_multiply({_HI}, {_TWO_64}), {_LO}) END AS DECIMAL(38,0))")
 
 
 def decode_decimal(text: Column | str, precision: int = 38, scale: int = 18,
@@ -75,20 +86,22 @@ def decode_decimal(text: Column | str, precision: int = 38, scale: int = 18,
     Some base64 texts look like numbers (``1234``). ``auto`` reads them as numbers;
     ``mode="base64"`` or ``"text"`` states the encoding.
     """
-    def read(raw: Column, shift: Column) -> Column:
+    def read(raw: str, shift: str) -> str:
+        plain = f"CASE WHEN {raw} RLIKE r'{PLAIN_NUMBER}' THEN {_fit_sql(raw, precision, scale)} END"
         if mode == "text":
-            return fit_decimal(raw, precision, scale)
-        coded = _let(F.hex(F.try_to_binary(raw, F.lit("base64"))), lambda h: fit_decimal(
-            F.concat(_twos_complement(h).cast("string"), F.lit("E"), (-shift).cast("string")), precision, scale))
+            return plain
+        long = _let("f", _DIGITS_32, f"CAST({_JOINED} AS STRING)")
+        unscaled = f"CASE WHEN h <> '' THEN if(length(h) <= 16, {_SHORT}, {long}) END"
+        coded = _let("h", f"hex(try_to_binary({raw}, 'base64'))", _let(
+            "n", f"concat({unscaled}, 'E', CAST(-({shift}) AS STRING))", _fit_sql("n", precision, scale)))
         if mode == "base64":
             return coded
-        return F.when(raw.rlike(PLAIN_NUMBER), fit_decimal(raw, precision, scale)).otherwise(coded)
+        return f"CASE WHEN {raw} RLIKE r'{PLAIN_NUMBER}' THEN {_fit_sql(raw, precision, scale)} ELSE {coded} END"
 
-    text = _col(text)
-    nested = F.from_json(text, "scale INT, value STRING", {"mode": "PERMISSIVE"})
-    return F.when(
-        text.startswith("{"), _let(nested, lambda v: read(v["value"], F.coalesce(v["scale"], F.lit(scale))))
-    ).otherwise(read(text, F.lit(scale)))
+    nested = _let("v", "from_json(raw, 'scale INT, value STRING', map('mode', 'PERMISSIVE'))",
+                  read("v.value", f"coalesce(v.scale, {scale})"))
+    body = f"raw -> CASE WHEN raw LIKE '{{%' THEN {nested} ELSE {read('raw', str(scale))} END"
+    return F.call_function("transform", F.array(_col(text)), F.expr(body))[0]
 
 
 def from_millis(n: Column) -> Column:
@@ -108,7 +121,7 @@ def decode_timestamp(text: Column | str, logical: str | None = None) -> Column:
     ISO instant, kept to the millisecond. Zoned values are TIMESTAMP, others NTZ.
     """
     text = _col(text)
-    n = text.try_cast("bigint")
+    n = _integer(text)
     unit = TIMESTAMP_UNITS.get(logical)
     number = {
         "ms": lambda: from_millis(n),
@@ -123,20 +136,20 @@ def decode_timestamp(text: Column | str, logical: str | None = None) -> Column:
 def decode_json_timestamp(text: Column | str) -> Column:
     """integers and digit texts are milliseconds; ISO and SQL texts are parsed."""
     text = _col(text)
-    n = text.try_cast("bigint")
+    n = _integer(text)
     return F.coalesce(from_millis(n), F.try_to_timestamp(F.when(n.isNull(), text))).cast("timestamp_ntz")
 
 
 def decode_date(text: Column | str) -> Column:
     """days since the epoch, or an ISO date."""
     text = _col(text)
-    days = text.try_cast("int")
+    days = _integer(text, "int")
     return F.coalesce(F.date_from_unix_date(days), F.when(days.isNull(), text).try_cast("date"))
 
 
 def decode_time(text: Column | str, logical: str | None = None) -> Column:
     """microseconds of the day, scaled by the logical type (else unchanged)."""
-    n = _col(text).try_cast("bigint")
+    n = _integer(_col(text))
     unit = TIME_UNITS.get(logical)
     if unit == "ms":
         return F.try_multiply(n, F.lit(1000).cast("bigint"))
@@ -152,14 +165,14 @@ def coerce(text: Column | str, target: str, zero_on_bad: bool = False) -> Column
     """
     text = _col(text)
     clean = F.trim(text)
-    number = clean.try_cast("double")
+    number = F.when(clean.rlike(PLAIN_NUMBER), clean.try_cast("double"))
     if target == "string":
         return text
     if target == "boolean":
         value = F.when(clean == "true", True).when(clean == "false", False).otherwise(number != 0)
         zero = F.lit(False)
     elif target in ("int", "bigint"):
-        value = F.coalesce(clean.try_cast(target), number.try_cast(target))
+        value = F.when(clean.rlike(INTEGER), clean.try_cast(target)).otherwise(number.try_cast(target))
         zero = F.lit(0).cast(target)
     else:
         value, zero = number.cast(target), F.lit(0).cast(target)

@@ -247,7 +247,7 @@ def decode_dates(spark, sf_dir):
            false AS false_of_junk, props AS text_value FROM events""")
 def lenient_coercions(spark, sf_dir):
     """scalar readings that never fail."""
-    num = F.format_string("%.2f", "value")
+    num = X.money("value")
     odd = F.col("event_id") % 2
     return X.read(spark, sf_dir, "events").select(
         "event_id", D.coerce(num, "int").alias("int_of_number"), D.coerce("event_type", "int").alias("int_of_text"),

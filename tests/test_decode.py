@@ -54,7 +54,7 @@ def test_decimal_round_trip(spark):
 
 
 def test_decimal_beyond_38_digits_is_null(spark):
-    for n in (10 ** 38, -10 ** 38, 2 ** 127 - 1, 2 ** 200):
+    for n in (10 ** 38, -10 ** 38, 2 ** 127 - 1, 2 ** 128 - 1, -2 ** 128, 2 ** 200):
         assert one(spark, D.decode_decimal("v", 38, 0, "base64"), coded(n)) is None
     padded = base64.b64encode((-5).to_bytes(40, "big", signed=True)).decode()
     assert one(spark, D.decode_decimal("v", 38, 0, "base64"), padded) == -5
