@@ -45,7 +45,7 @@ def run(spark: SparkSession, job: str, c: JobConfig):
         return []
     rows, checkpoint = source(spark, c), c.require("checkpoint.path")
     every = f"{c.integer('checkpoint.interval', 0)} milliseconds" if c.get("checkpoint.interval") else None
-    shards = c.integer("sink.parallelism", 8)
+    shards = c.integer("sink.parallelism", 0) or None
 
     def index() -> tuple:
         return c.require("search.index"), http_transport(c.require("search.host"), c.get("search.username"), c.get("search.password"))

@@ -121,7 +121,7 @@ def bulk_actions(spark, sf_dir):
 
 @query("bulk_batches", f"""
     WITH {ACTIONS_SQL},
-    lines AS (SELECT k, k % 4 AS shard, '{{"' || op || '":{{"_index":"orders","_id":"' || id || '"}}}}' || chr(10)
+    lines AS (SELECT k, k // 4000 AS shard, '{{"' || op || '":{{"_index":"orders","_id":"' || id || '"}}}}' || chr(10)
                      || coalesce(doc || chr(10), '') AS line FROM act),
     run AS (SELECT *, octet_length(encode(line)) AS b, row_number() OVER w - 1 AS rn,
                    coalesce(sum(octet_length(encode(line))) OVER (PARTITION BY shard ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS size
@@ -132,5 +132,5 @@ def bulk_batches(spark, sf_dir):
     """K6: request bodies of at most 1000 actions, cut at 60 kB."""
     actions = search.bulk_actions(order_changes(spark, sf_dir), ["o_orderkey"]) \
         .withColumn("_k", F.col("_id").cast("bigint"))
-    batches = search.bulk_batches(search.bulk_lines(actions, "orders"), F.col("_k") % 4, ["_k"], max_bytes=60000)
+    batches = search.bulk_batches(search.bulk_lines(actions, "orders"), F.call_function("div", "_k", F.lit(4000)), ["_k"], max_bytes=60000)
     return batches.select("shard", "row_band", "size_band", "n_actions", "n_bytes", F.md5("body").alias("body_md5"))

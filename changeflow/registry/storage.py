@@ -87,13 +87,12 @@ def rolled_files(spark, sf_dir):
 def multi_table_counts(spark, sf_dir):
     """One mixed stream of events into a table each, with its own schema."""
     events = two_tables(spark, sf_dir)
-    specs = table_specs(events)
     root = scratch_dir(spark, "many")
 
     def write(name, rows):
-        C.project_images(rows, specs[name]).write.parquet(f"{root}/{name}")
+        C.project_images(C.changelog(rows), table_specs(rows)[name]).write.parquet(f"{root}/{name}")
 
-    names = tables.per_table(C.changelog(events), write)
+    names = tables.per_table(events, write)
     amounts = {"orders": "o_totalprice", "customer": "c_acctbal"}
     parts = []
     for name in names:
