@@ -44,6 +44,12 @@ def data_events(opened: DataFrame, order: Column | None = None) -> DataFrame:
     ).where("op IS NOT NULL AND _image IS NOT NULL")
 
 
+def slim_events(events: DataFrame) -> DataFrame:
+    """Only what the changelog and the schema need: the raw text would double a staged batch."""
+    needed = ("_table", "_order", "ts_ms", "op", "before", "_image", "schema")
+    return events.select(*[c for c in needed if c in events.columns])
+
+
 def changelog(events: DataFrame, upsert: bool = True) -> DataFrame:
     """``_table, _kind, _order, _ts_ms, _image`` rows.
 

@@ -92,7 +92,7 @@ def multi_table_counts(spark, sf_dir):
     def write(name, rows):
         C.project_images(C.changelog(rows), table_specs(rows)[name]).write.parquet(f"{root}/{name}")
 
-    names = tables.per_table(events, write)
+    names = tables.per_table(C.slim_events(events), write)
     amounts = {"orders": "o_totalprice", "customer": "c_acctbal"}
     parts = []
     for name in names:

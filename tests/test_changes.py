@@ -8,13 +8,14 @@ from changeflow.operators import changelog as C
 from changeflow.registry.decoding import order_changes
 from changeflow.sinks.keyed import KeyedTable
 from changeflow.sources.snapshot import snapshot_chunks
+from changeflow.session import materialize
 from conftest import SF, rows
 
 KEY = ["o_orderkey"]
 
 
 def test_any_batching_gives_the_same_state(spark):
-    changes = order_changes(spark, SF)
+    changes = materialize(order_changes(spark, SF), "changes")
     want = C.current_state(changes, KEY)
     for cut in (1, 2, 3):
         base = C.current_state(changes.where(F.col("_order.pos") <= cut - 1), KEY)
