@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from changeflow.functions.decode import decode_json_timestamp
@@ -39,7 +42,8 @@ def declared_json(df: DataFrame, ddl: str, value: str = "value",
 
     Timestamps follow ``timestamp_format`` if one is given, else ISO (with or without
     zone), SQL style and epoch milliseconds are all read. ``on_error``: ``fail`` stops the
-    job, ``skip`` drops malformed rows, ``null`` keeps them as all-null rows.
+    job, ``skip`` drops malformed rows, ``null`` keeps them as all-null rows. In both
+    lenient modes a single unreadable field is NULL and its row is kept.
     """
     schema = T.StructType.fromDDL(ddl)
     times = {} if timestamp_format else {
@@ -53,7 +57,8 @@ def declared_json(df: DataFrame, ddl: str, value: str = "value",
         wire = wire.add(CORRUPT, T.StringType())
     parsed = once(df, "_row", F.from_json(F.col(value).cast("string"), wire, options))
     if on_error == "skip":
-        parsed = parsed.where(f"{value} IS NOT NULL AND _row.{CORRUPT} IS NULL")
+        readable = reduce(or_, [F.col(f"_row.`{f.name}`").isNotNull() for f in schema], F.col(f"_row.{CORRUPT}").isNull())
+        parsed = parsed.where(F.col(value).isNotNull() & readable)
 
     def column(name: str) -> Column:
         text = F.col(f"_row.`{name}`")

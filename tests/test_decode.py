@@ -96,6 +96,8 @@ def test_malformed_policy(spark):
     assert rows(parsing.declared_json(df, "a INT", on_error="null")) == [(1,), (None,), (None,)]
     with pytest.raises(Exception):
         parsing.declared_json(df, "a INT", on_error="fail").collect()
+    partly = spark.createDataFrame([('{"a":"x","b":2}',), ("[]",)], "value STRING")
+    assert rows(parsing.declared_json(partly, "a INT, b INT")) == [(None, 2)]
 
 
 def test_log_keeps_trailing_empty_fields_and_reports_bad_numbers(spark):
