@@ -30,6 +30,8 @@ MICROS_THRESHOLD = 1_000_000_000_000_000
 
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

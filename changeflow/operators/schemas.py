@@ -101,24 +101,25 @@ def map_type_column(base: Column, logical: Column, parameters: Column) -> Column
 
 
 def event_schemas(events: DataFrame) -> DataFrame:
-    """The columns declared by opened events (``_table``, ``op``, ``schema``, ``_order``).
+    """The columns declared by opened events (``_table``, ``op``, ``schema``, ``ts_ms``).
 
     One row per table, distinct schema block and column. The block is deduplicated by a
-    map-side combined aggregate before anything is parsed, so the cost is one pass.
+    map-side combined hash aggregate before anything is parsed: one pass, no sort. (Only
+    numbers are aggregated; a struct such as ``_order`` would need sorting by the text.)
     """
     image = F.when(F.col("op") == "d", "before").otherwise("after")
     blocks = (
         events.where("schema IS NOT NULL AND op IS NOT NULL")
         .groupBy("_table", image.alias("_image"), "schema")
-        .agg(F.min("_order").alias("first_order"), F.max("_order").alias("last_order"))
+        .agg(F.min("ts_ms").alias("first_ts_ms"), F.max("ts_ms").alias("last_ts_ms"))
     )
     parsed = once(blocks, "_s", json_struct("schema", SCHEMA_BLOCK))
     entry = F.try_element_at(
         F.filter("_s.fields", lambda e: e["field"] == F.col("_image")), F.lit(1))
-    columns = parsed.select("_table", "_image", "first_order", "last_order",
+    columns = parsed.select("_table", "_image", "first_ts_ms", "last_ts_ms",
                             F.posexplode(entry["fields"]).alias("pos", "c"))
     return columns.select(
-        "_table", "_image", "first_order", "last_order", "pos",
+        "_table", "_image", "first_ts_ms", "last_ts_ms", "pos",
         F.col("c.field").alias("column_name"),
         F.coalesce("c.type", F.lit("string")).alias("wire_type"),
         F.col("c.name").alias("logical"),
@@ -132,7 +133,7 @@ def event_schemas(events: DataFrame) -> DataFrame:
 def schema_from_events(events: DataFrame) -> DataFrame:
     """C1 as a report: distinct columns per table."""
     return event_schemas(events).groupBy("_table", "column_name").agg(
-        F.min("pos").alias("pos"), F.max_by("data_type", "last_order").alias("data_type"),
+        F.min("pos").alias("pos"), F.max_by("data_type", "last_ts_ms").alias("data_type"),
         F.bool_or("nullable").alias("nullable"))
 
 
@@ -142,7 +143,7 @@ def table_specs(events: DataFrame) -> dict[str, list[ColumnSpec]]:
     Only metadata reaches the driver: a row per table, schema version and column.
     """
     specs: dict[str, dict[str, ColumnSpec]] = {}
-    rows = event_schemas(events).orderBy("_table", "last_order", "pos").toLocalIterator()
+    rows = event_schemas(events).orderBy("_table", "last_ts_ms", "first_ts_ms", "pos").toLocalIterator()
     for r in rows:
         specs.setdefault(r["_table"], {})[r["column_name"]] = ColumnSpec(
             r["column_name"], r["wire_type"], r["logical"], r["nullable"], dict(r["parameters"] or {}))

@@ -40,6 +40,12 @@ def test_inference_combines_before_its_single_shuffle(spark):
     assert text.count("ENSURE_REQUIREMENTS") == 1 and "partial_bit_or" in text and "Python" not in text
 
 
+def test_schema_blocks_are_hashed_not_sorted(spark):
+    events = C.data_events(open_envelope(X.order_events(spark, SF).select("value"), with_schema=True))
+    text = plan(S.event_schemas(C.slim_events(events)))
+    assert "SortAggregate" not in text and text.count("ENSURE_REQUIREMENTS") == 1
+
+
 def test_apply_joins_keys_only(spark, folder):
     target = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     changes = spark.range(3).select(
