@@ -14,6 +14,7 @@ from conftest import SF
 
 
 def plan(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -22,7 +23,7 @@ def test_time_slice_reads_only_matching_folders(spark, folder):
     files.write_hourly(events.select("event_id", "ts").where("day(ts) < 4"), folder, "ts")
     got = time_slice(spark.read.parquet(folder), "2024-01-02 00", "2024-01-02 06")
     text = plan(got.select("event_id"))
-    assert "PartitionFilters: [" in text and "make_timestamp" in text.split("PartitionFilters: [")[1].split("DataFilters" if "DataFilters" in text.split("PartitionFilters: [")[1] else "ReadSchema")[0]
+    assert "make_timestamp" in text.split("PartitionFilters: [")[1].split("ReadSchema")[0]
     assert "ReadSchema: struct<event_id:bigint>" in text
     assert got.count() == events.where("ts >= '2024-01-02 00:00:00' AND ts < '2024-01-02 06:00:00'").count()
 
