@@ -94,3 +94,45 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op1_tree_scored_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from changeflow.llm.html_text import extract
+
+    return extract(read(spark, sf_dir, "pages"))
+
+
+@query("op3_interval_tree_repeats")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated passages."""
+    from changeflow.llm.repeats import cut_repeats
+
+    return cut_repeats(read(spark, sf_dir, "documents"))
+
+
+@query("op4_simple8b_tokens")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written and read back."""
+    import public_tokenizers
+
+    from changeflow.llm.simple8b import token_files
+
+    return token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_kneser_ney_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    from changeflow.llm.langid import languages
+
+    return languages(read(spark, sf_dir, "documents"))
+
+
+@query("op9_edit_embedding_prints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    from changeflow.llm.editprint import fingerprints
+
+    return fingerprints(read(spark, sf_dir, "documents"))
