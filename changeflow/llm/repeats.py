@@ -121,6 +121,34 @@ def maximal_repeats(members: list[tuple[bytes, bytes]], length: int = LENGTH) ->
                 yield more, depth, [order[i] for i in found]
 
 
+def coverage(members: list[tuple[bytes, bytes]], length: int = LENGTH) -> list[tuple[int, int]]:
+    """How far the maximal repeats of each member reach to the left and to the right of its anchor; (0, 0)
+    if it is in none. All of them contain the anchor, so together they are one range.
+
+    A member of an interval is, of all repeats there, in that of the neighbour in the order of the
+    bytes before the anchors with which it has most in common.
+    """
+    order = sorted(range(len(members)), key=lambda i: members[i][1])
+    right = [members[i][1] for i in order]
+    lcp = [common(a, b) for a, b in zip(right, right[1:])]
+    by_left = sorted(range(len(order)), key=lambda i: members[order[i]][0])
+    rank = [0] * len(order)
+    for place, i in enumerate(by_left):
+        rank[i] = place
+    reach = [(0, 0)] * len(members)
+    longest_left = max((len(m[0]) for m in members), default=0)
+    for first, last, depth in intervals(lcp, length - longest_left):
+        inside = sorted(range(first, last + 1), key=rank.__getitem__)
+        left = [members[order[i]][0] for i in inside]
+        shared = [0, *(common(a, b) for a, b in zip(left, left[1:])), 0]
+        for k, i in enumerate(inside):
+            more = max(shared[k], shared[k + 1])
+            if more + depth >= length:
+                own = reach[order[i]]
+                reach[order[i]] = max(own[0], more), max(own[1], depth)
+    return reach
+
+
 def _find(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch["text"])
@@ -157,12 +185,9 @@ def _spans(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     def done() -> None:
         known = {c: row for c, *row in held}  # a text may come from several tasks
         rows = list(known.values())
-        best: set[tuple] = set()
-        for left, right, found in maximal_repeats([(r[3], r[4]) for r in rows], length):
-            best.update((i, left, right) for i in found)
-        for i, left, right in best:
-            t, u, pos = rows[i][:3]
-            out.append((t, u, pos - left, pos + right))
+        for (t, u, pos, *_), (left, right) in zip(rows, coverage([(r[3], r[4]) for r in rows], length)):
+            if right:
+                out.append((t, u, pos - left, pos + right))
 
     def made() -> pa.RecordBatch:
         columns = list(zip(*out)) if out else [()] * 4
@@ -227,6 +252,7 @@ def repeat_spans(keyed: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     rows of ``keyed`` (doc_id, text, _t, _u). Ranges may overlap, end beyond the text or be too
     short for a repeat once they are cut to the text; the latter are none."""
     gram = length // 2
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "h long, _t long, _u long, pos int, c long"
     found = keyed.select("_t", "_u", "text").where(F.octet_length("text") >= length).mapInArrow(lambda b: _find(b, length), schema)
     occurrence = F.xxhash64("_t", "_u", "pos").alias("id")
@@ -244,7 +270,7 @@ def repeat_spans(keyed: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     own = keyed.select("doc_id", "text", "_t", "_u").join(wanted, ["_t", "_u"])
     around = own.mapInArrow(lambda b: _surroundings(b, length), "h long, c long, m long, _t long, _u long, pos int, left binary, right binary")
     around = materialize(around, "surroundings")
-    usual = around.where(F.col("m") <= group).drop("m").repartition("h").sortWithinPartitions("h")
+    usual = around.where(F.col("m") <= group).drop("m").repartition(parts, "h").sortWithinPartitions("h")
     by_intervals = usual.mapInArrow(lambda b: _spans(b, length), "_t long, _u long, a long, b long")
     windows = around.where(F.col("m") > group).mapInArrow(lambda b: _windows(b, length), "w1 long, w2 long, _t long, _u long, a long")
     twice = windows.groupBy("w1", "w2").agg(F.min(F.xxhash64("_t", "_u", "a")).alias("lo"), F.max(F.xxhash64("_t", "_u", "a")).alias("hi")) \
