@@ -8,10 +8,11 @@ batch take a step together.
 
 Candidates. 32 bands of 4 places: two sets of similarity 0.75 share no band with a
 probability of 5e-6. Equal sets are one class from the start. In a bucket every class is
-compared to the bucket's smallest; one such pair per class is verified, and components are
-taken. Only buckets that still hold several components are searched within, by comparing
-signatures of members of different components, in blocks of a bounded size: no bucket is
-capped, no pair is emitted inside a component. Every link is confirmed on the full sets.
+compared to the bucket's smallest: first in one bucket, then in those where it is still in another component.
+Only buckets that hold several components after that are searched within, in blocks of a
+bounded size: signatures of members of different components are compared, and those
+that may be links are verified at once, until the components are one. No bucket is capped,
+no pairs of a group are emitted. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -144,52 +145,72 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": batch["a"].filter(chosen), "b": batch["b"].filter(chosen)})
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that are links. The text of a class is that of one of its documents."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = ends.join(classes.select("node", "_t", "_u", "first_id"), "node")
+def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text): the text of a class is that of one of its documents."""
+    wanted = nodes.join(classes.select("node", "_t", "_u", "first_id"), "node")
     own = docs.select("doc_id", "text", *text_keys()).withColumnRenamed("doc_id", "first_id")
     same = [F.col("w._t") == F.col("d._t"), F.col("w._u") == F.col("d._u"), F.col("w.first_id").eqNullSafe(F.col("d.first_id"))]
-    texts = materialize(own.alias("d").join(wanted.alias("w"), same).select("w.node", "d.text"), "texts")
+    return materialize(own.alias("d").join(wanted.alias("w"), same).select("w.node", "d.text"), "texts")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that are links."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts(ends, classes, docs)
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     rows = both.select("a", "b", "text_a", "text_b").sortWithinPartitions("b", "a")
     return materialize(rows.mapInArrow(_similar, "a long, b long").distinct(), "links")
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of a block pair, of different components, whose signatures and sizes allow a link.
+def links_across(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links between members (node, label, n, block, sketch, text) of different components, as
+    few as join what they join: pairs that are connected by then are not looked at.
 
-    Rows come sorted by (bucket, low, high): a group is held, at most two blocks.
+    Of two blocks, only pairs across them are looked at.
     """
-    def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        node, label, n, block = (np.array([r[i] for r in rows], np.int64) for i in range(4))
-        sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
-        two = block.min() != block.max()
-        left: list[int] = []
-        right: list[int] = []
-        for i in range(len(rows)):
-            others = slice(i + 1, None)
-            fit = (label[others] != label[i]) & (4 * np.minimum(n[others], n[i]) >= 3 * np.maximum(n[others], n[i]))
-            if two:
-                fit &= block[others] != block[i]
-            near = np.flatnonzero(fit)
-            if len(near):
-                near = near[(sketch[others][near] == sketch[i]).mean(axis=1) >= LOW]
-                left += [int(node[i])] * len(near)
-                right += node[others][near].tolist()
-        return left, right
+    node, label, n, block = (np.array([r[i] for r in rows], np.int64) for i in range(4))
+    sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+    label = np.unique(label, return_inverse=True)[1]
+    two = block.min() != block.max()
+    sets: dict[int, np.ndarray] = {}
+    links = []
+
+    def shingles(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_sets([rows[i][5]])[0]
+        return sets[i]
+
+    for i in range(len(rows)):
+        others = slice(i + 1, None)
+        fit = (label[others] != label[i]) & (4 * np.minimum(n[others], n[i]) >= 3 * np.maximum(n[others], n[i]))
+        if two:
+            fit &= block[others] != block[i]
+        near = np.flatnonzero(fit)
+        if len(near):
+            near = near[(sketch[others][near] == sketch[i]).mean(axis=1) >= LOW]
+        for j in (near + i + 1).tolist():
+            if label[i] != label[j]:
+                x, y = shingles(i), shingles(j)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= 75 * (len(x) + len(y) - both):
+                    links.append((int(node[i]), int(node[j])))
+                    label[label == label[j]] = label[i]
+    return links
+
 
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (bucket, low, high): one group is held, at most two blocks."""
     held: list[tuple] = []
     now = None
 
     def done() -> pa.RecordBatch:
-        left, right = pairs(held)
-        return pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        links = links_across(held)
+        return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     for batch in batches:
         names = ("bucket", "low", "high", "node", "label", "n", "block", "sketch")
-        for bucket, low, high, *member in zip(*(batch[c].to_pylist() for c in names)):
+        for bucket, low, high, *member in zip(*(batch[c].to_pylist() for c in names), texts_of(batch["text"])):
             if (bucket, low, high) != now:
                 if len(held) > 1:
                     yield done()
@@ -199,20 +220,20 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _open_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, block: int) -> DataFrame:
-    """Candidate pairs between components that meet in a bucket."""
+def _open_links(members: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """Links between components that meet in a bucket."""
     labelled = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     stats = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
-    held = labelled.join(stats.where("lo <> hi").select("bucket", "m"), "bucket")
+    held = materialize(labelled.join(stats.where("lo <> hi").select("bucket", "m"), "bucket"), "open")
+    texts = _texts(held.select("node").distinct(), classes, docs)
     parts = F.ceil(F.col("m") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
     spread = held.select("bucket", "node", "label", own.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-    rows = spread.join(classes.select("node", "n", "sketch"), "node").select(
+    rows = spread.join(classes.select("node", "n", "sketch").join(texts, "node"), "node").select(
         "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "node", "label", "n", "block", "sketch")
-    dealt = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    found = dealt.mapInArrow(_across, "a long, b long")
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        "node", "label", "n", "block", "sketch", "text")
+    dealt = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
+    return materialize(dealt.mapInArrow(_across, "a long, b long"), "links")
 
 
 def near_copies(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -238,11 +259,16 @@ def _resolved(docs: DataFrame, block: int) -> DataFrame:
     all_members = classes.select("node", F.explode("bands").alias("bucket"))
     heads = all_members.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last")
     members = materialize(all_members.join(heads.select("bucket", "head"), "bucket"), "members")
-    first = members.where("node <> head").groupBy("node").agg(F.min("head").alias("b")).select(F.col("node").alias("a"), "b")
-    links = _verified(materialize(first, "pairs"), classes, docs)
+    stars = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    links = _verified(materialize(stars.groupBy("a").agg(F.min("b").alias("b")), "pairs"), classes, docs)
+    labels = materialize(connected(links), "labels")
+    of_a, of_b = (labels.select(F.col("node").alias(c), F.col("label").alias("label_" + c)) for c in "ab")
+    apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
+    rest = stars.distinct().join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
+    links = links.union(_verified(materialize(rest, "pairs"), classes, docs))
+    labels = materialize(connected(links), "labels")
+    links = links.union(_open_links(members.select("bucket", "node"), classes, docs, labels, block))
     labels = materialize(connected(links), "labels")
-    more = materialize(_open_pairs(members.select("bucket", "node"), classes, labels, block), "pairs")
-    labels = materialize(connected(links.union(_verified(more, classes, docs))), "labels")
     in_links = classes.select("node", "least_id").join(labels, "node")
     least = in_links.groupBy("label").agg(F.min("least_id").alias("linked_id"))
     linked = in_links.join(least, "label").select("node", "linked_id")
