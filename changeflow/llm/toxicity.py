@@ -22,8 +22,9 @@ from changeflow.session import materialize
 BITS = 20
 #: Largest numbers of labelled documents to learn from.
 MAX_TOXIC, MAX_CLEAN = 6_000, 12_000
+#: Passes over the sample. More of them learn rare words by heart.
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
 #: Words are also features by their first characters (bytes).
 STEM = 5
 CHUNK = 1 << 20
@@ -53,8 +54,8 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(lines), (np.concatenate(found) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Places and weights that are not zero, and the bias, of a pass over (distinct places, label)."""
+def fit(examples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Places and weights that are not zero, and the bias, from examples (distinct places, label)."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     z0 = n0 = 0.0
 
@@ -63,7 +64,7 @@ def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[n
         return np.where(np.abs(z) <= L1, 0.0, w)
 
     rng = np.random.default_rng(8)
-    for _ in range(epochs):
+    for _ in range(EPOCHS):
         for i in rng.permutation(len(examples)):
             at, label = examples[i]
             zi, ni = z[at], n[at]
@@ -117,7 +118,7 @@ def score(docs: DataFrame, model: DataFrame, name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1; texts that are null or empty have that of no features."""
     if name in docs.columns:
         raise ValueError(f"the table has a column {name}")
-    row = model.first()
+    row = model.first() or {"at": [], "w": [], "bias": -30.0}
     shared = docs.sparkSession.sparkContext.broadcast((np.array(row["at"], np.int64), np.array(row["w"], np.float32), row["bias"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
