@@ -52,7 +52,7 @@ def run(spark: SparkSession, job: str, c: JobConfig):
 
     def cells():
         path = c.require("sink.path")
-        return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{path}/batch={tables.stream_name(checkpoint)}-{batch_id}")
 
     jobs = {
         "cdc-tables": lambda: tables.cdc_to_tables(rows, c, checkpoint, every, keys_of(c)),

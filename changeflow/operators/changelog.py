@@ -38,7 +38,7 @@ def data_events(opened: DataFrame, order: Column | None = None) -> DataFrame:
     """
     return opened.select(
         "*",
-        F.coalesce("source.table", F.lit("unknown_table")).alias("_table"),
+        F.coalesce(F.nullif(F.trim("source.table"), F.lit("")), F.lit("unknown_table")).alias("_table"),
         (source_order() if order is None else order).alias("_order"),
         row_image().alias("_image"),
     ).where("op IS NOT NULL AND _image IS NOT NULL")

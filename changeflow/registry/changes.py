@@ -109,19 +109,27 @@ def table_history(spark, sf_dir):
     return C.table_history(order_changes(spark, sf_dir), version).withColumnRenamed("_table", "table_name")
 
 
-@query("upsert_composite_key", """
+LAST_WRITE_SQL = """
     SELECT user_id AS "customerId", date_trunc('hour', ts) AS "transactionTime", arg_max(value, event_id) AS amount,
-           arg_max(event_type, event_id) AS status FROM events GROUP BY ALL""")
-def upsert_composite_key(spark, sf_dir):
-    """Last write per (customer, hour) in a keyed table: two batches, a
-    compaction and a repeated batch."""
+           arg_max(event_type, event_id) AS status FROM events GROUP BY ALL"""
+
+
+def customer_hours(spark, sf_dir):
+    """An empty keyed table, and the earlier and later half of the events as its changes."""
     events = X.read(spark, sf_dir, "events").select(
         F.col("user_id").alias("customerId"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("transactionTime"),
         F.col("value").alias("amount"), F.col("event_type").alias("status"), F.lit("+I").alias("_kind"),
         F.col("event_id").alias("_order"))
     middle = events.agg(F.expr("div(max(_order), 2)")).first()[0]
     table = KeyedTable(spark, scratch_dir(spark, "keyed"), ["customerId", "transactionTime"])
-    early, late = events.where(F.col("_order") <= middle), events.where(F.col("_order") > middle)
+    return table, events.where(F.col("_order") <= middle), events.where(F.col("_order") > middle)
+
+
+@query("upsert_composite_key", LAST_WRITE_SQL)
+def upsert_composite_key(spark, sf_dir):
+    """Last write per (customer, hour) in a keyed table: two batches, a
+    compaction and a repeated batch."""
+    table, early, late = customer_hours(spark, sf_dir)
     table.upsert(early, 0)
     table.compact()
     table.upsert(late, 1)
@@ -129,6 +137,25 @@ def upsert_composite_key(spark, sf_dir):
     return table.read()
 
 
+@query("late_event_in_later_batch", LAST_WRITE_SQL)
+def late_event_in_later_batch(spark, sf_dir):
+    """The order of the events decides, also where older ones come in a later batch."""
+    table, early, late = customer_hours(spark, sf_dir)
+    table.upsert(late, 0)
+    table.compact()
+    table.upsert(early, 1)
+    return table.read()
+
+
+@query("restart_new_checkpoint", LAST_WRITE_SQL)
+def restart_new_checkpoint(spark, sf_dir):
+    """Batch ids that begin again with a new checkpoint neither hide nor replace rows."""
+    table, early, late = customer_hours(spark, sf_dir)
+    table.upsert(early, 0, "first")
+    table.upsert(late, 0, "second")
+    return table.read()
+
+
 @query("restart_idempotent", f"WITH {EVENTS_SQL} {STATE_SQL}")
 def restart_idempotent(spark, sf_dir):
     """A stream of changes into a keyed table, stopped and restarted, with its

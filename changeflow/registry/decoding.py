@@ -148,26 +148,32 @@ def base64_decode(spark, sf_dir):
     return e.select("event_id", accesslog.base64_or_self(coded).alias("decoded"))
 
 
-@query("access_log_parse", """
+NUMERIC_SQL = {
+    "timestamp": "CAST(printf('%d.%03d', epoch_us(ts) // 1000000, epoch_us(ts) // 1000 % 1000) AS DOUBLE)",
+    "timetofirstbyte": "CAST(CASE WHEN dash THEN 0 ELSE value END AS FLOAT)",
+    "scstatus": "CAST(CASE WHEN dash THEN 0 ELSE 200 + event_id % 5 END AS INTEGER)",
+    "scbytes": "CAST(CASE WHEN dash THEN 0 ELSE event_id END AS BIGINT)",
+    "csbytes": "CAST(CASE WHEN dash THEN 0 ELSE user_id END AS BIGINT)",
+    "timetaken": "CAST(CASE WHEN dash THEN 0 ELSE value END AS FLOAT)",
+    "sccontentlen": "CAST(CASE WHEN dash THEN 0 ELSE event_id % 1000 END AS BIGINT)",
+    "scrangestart": "CAST(0 AS BIGINT)",
+    "scrangeend": "CAST(CASE WHEN dash THEN 0 ELSE event_id % 77 END AS BIGINT)",
+    "cport": "CAST(CASE WHEN dash THEN 0 ELSE 1024 + event_id % 6000 END AS INTEGER)",
+    "csheaderscount": "CAST(CASE WHEN dash THEN 0 ELSE event_id % 31 END AS INTEGER)",
+    "csmethod": "upper(event_type)",
+    "csurl": "'/item/' || user_id",
+}
+LOG_COLUMNS_SQL = ", ".join(
+    NUMERIC_SQL.get(name, f"'f{i}-' || event_id") + f" AS {name}" for i, name in enumerate(accesslog.LOG_FIELDS))
+
+
+@query("access_log_parse", f"""
     WITH e AS (SELECT *, event_id % 7 = 0 AS dash FROM events WHERE event_id % 103 <> 0)
-    SELECT CAST(printf('%d.%03d', epoch_us(ts) // 1000000, epoch_us(ts) // 1000 % 1000) AS DOUBLE) AS timestamp,
-           date_trunc('milliseconds', ts) AS log_time,
-           'f1-' || event_id AS cip, CAST(CASE WHEN dash THEN 0 ELSE value END AS FLOAT) AS timetofirstbyte,
-           CAST(CASE WHEN dash THEN 0 ELSE 200 + event_id % 5 END AS INTEGER) AS scstatus,
-           CAST(CASE WHEN dash THEN 0 ELSE event_id END AS INTEGER) AS scbytes, upper(event_type) AS csmethod,
-           '/item/' || user_id AS csurl, CAST(CASE WHEN dash THEN 0 ELSE user_id END AS INTEGER) AS csbytes,
-           CAST(CASE WHEN dash THEN 0 ELSE value END AS FLOAT) AS timetaken, 'f28-' || event_id AS sccontenttype,
-           CAST(CASE WHEN dash THEN 0 ELSE event_id % 1000 END AS INTEGER) AS sccontentlen,
-           CAST(0 AS INTEGER) AS scrangestart, CAST(CASE WHEN dash THEN 0 ELSE event_id % 77 END AS INTEGER) AS scrangeend,
-           CAST(CASE WHEN dash THEN 0 ELSE 1024 + event_id % 6000 END AS INTEGER) AS cport,
-           'f39-' || event_id AS csheadernames, CAST(CASE WHEN dash THEN 0 ELSE event_id % 31 END AS INTEGER) AS csheaderscount
-    FROM e""")
+    SELECT {LOG_COLUMNS_SQL}, date_trunc('milliseconds', ts) AS log_time FROM e""")
 def access_log_parse(spark, sf_dir):
-    """Log lines to typed records; short lines become dead letters."""
+    """Log lines to typed records, all 41 columns; short lines become dead letters."""
     good, _ = accesslog.split_access_log(accesslog.parse_access_log(X.log_lines(spark, sf_dir)))
-    return good.select(
-        "timestamp", "log_time", "cip", "timetofirstbyte", "scstatus", "scbytes", "csmethod", "csurl", "csbytes",
-        "timetaken", "sccontenttype", "sccontentlen", "scrangestart", "scrangeend", "cport", "csheadernames", "csheaderscount")
+    return good
 
 
 @query("access_log_dead_letters", """

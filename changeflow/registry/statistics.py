@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changeflow.fixtures import read
-from changeflow.operators.windows import Hop, Stat, hop_direct, hop_panes
+from changeflow.operators.windows import Stat, hop_direct, hop_panes
 from changeflow.registry import query
 from changeflow.session import scratch_dir
 from changeflow.sinks.tables import fan_out
@@ -23,14 +23,22 @@ def hop_sql(keys: str, aggregates: str, slide: str = "20 second", size: str = "6
     SELECT {keys}, {aggregates} FROM w GROUP BY {keys}, window_end {having}"""
 
 
-@query("hop_count_by_user", f"""
+def hourly_sql(windows: str) -> str:
+    return f"""
     SELECT user_id, date_trunc('hour', window_end) AS hour, count(*) AS n_windows, CAST(sum(cnt) AS BIGINT) AS total,
            max(cnt) AS busiest, CAST(sum(cnt * (epoch_us(window_end) // 20000000)) AS BIGINT) AS checksum
-    FROM ({hop_sql("user_id", "count(*) AS cnt, window_end")}) GROUP BY ALL""")
+    FROM ({windows}) GROUP BY ALL"""
+
+
+def hourly(windows):
+    return digest(windows, "user_id", F.date_trunc("hour", "window_end").cast("timestamp_ntz").alias("hour"))
+
+
+@query("hop_count_by_user", hourly_sql(hop_sql("user_id", "count(*) AS cnt, window_end")))
 def hop_count_by_user(spark, sf_dir):
     """A1, A5: events per user in every 60-minute window, moving by 20 seconds; all
     windows enter the hourly digest."""
-    return digest(user_windows(spark, sf_dir), "user_id", F.date_trunc("hour", "window_end").cast("timestamp_ntz").alias("hour"))
+    return hourly(user_windows(spark, sf_dir))
 
 
 def user_windows(spark, sf_dir):
@@ -76,14 +84,11 @@ def hop_count_panes(spark, sf_dir):
     return digest(hop_panes(read(spark, sf_dir, "events"), "ts", ["event_type"]), "event_type")
 
 
-COARSE = Hop(3600, 1200)
-
-
-@query("hop_count_direct", hop_sql("user_id", "count(*) AS cnt, window_end", slide="20 minute"))
+@query("hop_count_direct", hourly_sql(hop_sql("user_id", "count(*) AS cnt, window_end")))
 def hop_count_direct(spark, sf_dir):
-    """A1 through F.window, moving by 20 minutes."""
-    return hop_direct(read(spark, sf_dir, "events"), "ts", ["user_id"], hop=COARSE) \
-        .select("user_id", "cnt", F.col("window_end").cast("timestamp_ntz").alias("window_end"))
+    """A1 through F.window."""
+    return hourly(hop_direct(read(spark, sf_dir, "events"), "ts", ["user_id"]).select(
+        "user_id", "cnt", F.col("window_end").cast("timestamp_ntz").alias("window_end")))
 
 
 def _run_hop(spark, steps):
@@ -92,30 +97,30 @@ def _run_hop(spark, steps):
     for step in steps:
         step.write.mode("append").parquet(events)
         stream = replay_stream(spark, events, "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT")
-        finish(run_files(hop_stream(stream, "ts", ["user_id"], hop=COARSE), out, state))
-    return spark.read.parquet(out).select(
-        "user_id", "cnt", F.col("window_end").cast("timestamp_ntz").alias("window_end"))
+        finish(run_files(hop_stream(stream, "ts", ["user_id"]), out, state))
+    return hourly(spark.read.parquet(out).select(
+        "user_id", "cnt", F.col("window_end").cast("timestamp_ntz").alias("window_end")))
 
 
 EMITTED = "HAVING window_end <= (SELECT max(ts) FROM events) - interval 5 second"
 
 
-@query("hop_stream_append", hop_sql("user_id", "count(*) AS cnt, window_end", slide="20 minute", having=EMITTED))
+@query("hop_stream_append", hourly_sql(hop_sql("user_id", "count(*) AS cnt, window_end", having=EMITTED)))
 def hop_stream_append(spark, sf_dir):
     """The stream emits each window once, after the watermark has passed it."""
     events = read(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     return _run_hop(spark, [events])
 
 
-@query("late_rows_dropped", f"""
+@query("late_rows_dropped", hourly_sql("""
     WITH cut AS (SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 AS c FROM events),
     r AS (SELECT ts, user_id, epoch_us(ts) <= c AND event_id % 50 = 0 AS late,
                  (SELECT max(ts) FROM events, cut WHERE epoch_us(ts) <= c AND event_id % 50 <> 0) - interval 5 second AS wm
           FROM events, cut),
-    b AS (SELECT *, time_bucket(interval 20 minute, ts, timestamp '1970-01-01') AS tb FROM r),
-    w AS (SELECT *, unnest(generate_series(tb + interval 20 minute, tb + interval 60 minute, interval 20 minute)) AS window_end FROM b)
+    b AS (SELECT *, time_bucket(interval 20 second, ts, timestamp '1970-01-01') AS tb FROM r),
+    w AS (SELECT *, unnest(generate_series(tb + interval 20 second, tb + interval 60 minute, interval 20 second)) AS window_end FROM b)
     SELECT user_id, count(*) AS cnt, window_end FROM w WHERE NOT late OR window_end > wm
-    GROUP BY user_id, window_end HAVING window_end <= (SELECT max(ts) FROM events) - interval 5 second""")
+    GROUP BY user_id, window_end HAVING window_end <= (SELECT max(ts) FROM events) - interval 5 second"""))
 def late_rows_dropped(spark, sf_dir):
     """Rows held back until the watermark has moved count only in open windows.
 
