@@ -117,8 +117,23 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
     return out[:n]
 
 
-#: A space beside other white space.
+#: A space beside other white space; for ASCII, as plain strings, which are found faster.
 BESIDE = re.compile(r" \s|\s ")
+BESIDE_ASCII = ["  ", *(pair for c in "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f" for pair in (" " + c, c + " "))]
+
+
+def beside(text: str) -> bool:
+    return any(map(text.__contains__, BESIDE_ASCII)) if text.isascii() else BESIDE.search(text) is not None
+
+
+class Known(dict):
+    """Words of frequent use, and behind them those of late."""
+
+    def __init__(self):
+        self.recent: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        return self.recent[word]
 
 
 class Encoder:
@@ -134,8 +149,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.recent: dict[str, bytes] = {}
+        self.known = Known()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: one letter stands for one
         for token, i in vocabulary.items():
@@ -162,9 +176,9 @@ class Encoder:
         """Ids of each text as little-endian 32-bit integers."""
         split: list[list[str] | None] = []
         for text in texts:
-            bad = BESIDE.search(text) or "\0" in text or text.endswith(" ") or any(s in text for s in self.special)
+            bad = beside(text) or "\0" in text or text.endswith(" ") or any(s in text for s in self.special)
             split.append(None if bad else text.replace(" ", "\0 ").split("\0"))
-        known, recent = self.known, self.recent
+        known, recent = self.known, self.known.recent
         if len(recent) > RECENT:
             recent.clear()
         new = list(set().union(*(s[1:] for s in split if s is not None)).difference(known, recent))
@@ -173,13 +187,8 @@ class Encoder:
         firsts = iter(self.whole([s[0] for s in split if s is not None]))
         others = iter(self.whole([t for t, s in zip(texts, split) if s is None]))
 
-        def ids(words: list[str]) -> bytes:
-            try:
-                return b"".join(map(known.__getitem__, words))
-            except KeyError:
-                return b"".join([known.get(w) or recent[w] for w in words])
-
-        return [next(others) if s is None else next(firsts) + ids(s[1:]) for s in split]
+        get = known.__getitem__
+        return [next(others) if s is None else next(firsts) + b"".join(map(get, s[1:])) for s in split]
 
 
 def encoder(path: str) -> Encoder:
