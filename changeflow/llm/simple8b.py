@@ -14,10 +14,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow.llm.common import chunks, texts_of, worker_cache
@@ -34,7 +37,8 @@ REMEMBERED = 700_000
 #: Words after those, forgotten together.
 RECENT = 200_000
 CHUNK = 1 << 22
-
+#: Words that are encoded as one text.
+JOINED = 100
 
 LIMITS = np.array([1 << bits for _, bits in LAYOUTS], np.uint64)
 
@@ -154,41 +158,75 @@ class Encoder:
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: one letter stands for one
         for token, i in vocabulary.items():
             self.width[i] = len(token)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.letters = {b: chr(256 + n) for n, b in enumerate(hidden)}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that each begin with a space and end in a visible character: encoded in one text, cut by their bytes."""
-        out = []
-        for lo in range(0, len(words), 2000):
-            part = words[lo:lo + 2000]
+        """Ids of words that each begin with a space and end in a visible character.
+
+        The pre-tokenizer leaves a space and letters in one piece, which the model takes as it is; other words
+        are encoded in joined texts, cut by their bytes.
+        """
+        out: list[bytes] = [b""] * len(words)
+        rest: list[int] = []
+        tokenize, letter = self.tokenizer.model.tokenize, self.letters
+        for i, w in enumerate(words):
+            if w[1:].isalpha() and max(w) < "\u2000":
+                out[i] = array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(letter))]).tobytes()
+            else:
+                rest.append(i)
+        for lo in range(0, len(rest), JOINED):
+            part = [words[i] for i in rest[lo:lo + JOINED]]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum([len(w.encode()) for w in part])
             cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
             flat, at = ids.tobytes(), 0
-            for cut in (4 * cuts).tolist():
-                out.append(flat[at:cut])
+            for i, cut in zip(rest[lo:lo + JOINED], (4 * cuts).tolist()):
+                out[i] = flat[at:cut]
                 at = cut
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        split: list[list[str] | None] = []
-        for text in texts:
-            bad = beside(text) or "\0" in text or text.endswith(" ") or any(s in text for s in self.special)
-            split.append(None if bad else text.replace(" ", "\0 ").split("\0"))
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without neighbouring white space: each distinct word is looked up once, its ids are laid out by array operations."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        index = coded.indices.to_numpy().astype(np.int64)
+        inner = np.ones(len(index), bool)
+        inner[offsets[:-1]] = False
+        vocabulary = coded.dictionary.to_pylist()
+        used = np.zeros(len(vocabulary), bool)
+        used[index[inner]] = True
         known, recent = self.known, self.known.recent
         if len(recent) > RECENT:
             recent.clear()
-        new = list(set().union(*(s[1:] for s in split if s is not None)).difference(known, recent))
-        target = known if len(known) < REMEMBERED else recent
-        target.update(zip(new, self.words(new)))
-        firsts = iter(self.whole([s[0] for s in split if s is not None]))
-        others = iter(self.whole([t for t, s in zip(texts, split) if s is None]))
-
-        get = known.__getitem__
-        return [next(others) if s is None else next(firsts) + b"".join(map(get, s[1:])) for s in split]
+        chosen = [" " + w for w in compress(vocabulary, used.tolist())]
+        new = [w for w in chosen if w not in known and w not in recent]
+        (known if len(known) < REMEMBERED else recent).update(zip(new, self.words(new)))
+        # Rows of ids: the used words, then the first piece of each text.
+        rows = [*map(known.__getitem__, chosen), *self.whole([t.partition(" ")[0] for t in texts])]
+        place = np.cumsum(used) - 1
+        index = place[index]
+        index[offsets[:-1]] = len(chosen) + np.arange(len(texts))
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows)) >> 2
+        flat = np.frombuffer(b"".join(rows), "<u4")
+        length = sizes[index]
+        end = np.cumsum(length)
+        step = (np.cumsum(sizes) - sizes)[index] - end + length
+        laid = flat[np.repeat(step, length) + np.arange(end[-1])].tobytes()
+        cuts = [0, *(4 * end[offsets[1:] - 1]).tolist()]
+        return [laid[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        plain = [not (beside(t) or t.endswith(" ") or any(s in t for s in self.special)) for t in texts]
+        easy = iter(self.pieces(list(compress(texts, plain)))) if any(plain) else iter(())
+        others = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
+        return [next(easy) if p else next(others) for p in plain]
 
 
 def encoder(path: str) -> Encoder:
