@@ -48,10 +48,10 @@ def positional_project(spark, sf_dir):
     return P.positional_project(rows, sink)
 
 
-@query("drop_unparsed", f"WITH {WIDE_SQL} SELECT uuid, status FROM msg")
+@query("drop_unparsed", f"WITH {WIDE_SQL} SELECT * EXCLUDE (rowkey) FROM msg")
 def drop_unparsed(spark, sf_dir):
     """Rows without a key, among them broken texts, are dropped."""
-    return messages(spark, sf_dir).where("uuid IS NOT NULL").select("uuid", "status")
+    return messages(spark, sf_dir).where("uuid IS NOT NULL")
 
 
 @query("row_key", f"WITH {WIDE_SQL} SELECT uuid, rowkey FROM msg")
@@ -104,18 +104,19 @@ ACTIONS_SQL = f"""{EVENTS_SQL},
                     {MONEY_SQL.format('CASE WHEN k % 3 = 0 THEN c + 100 ELSE c END')} AS p1 FROM o),
     act AS (SELECT k, CASE WHEN gone THEN 'delete' ELSE 'index' END AS op, CAST(k AS VARCHAR) AS id,
                    CASE WHEN NOT gone THEN '{{"o_orderkey":' || k || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || s1
-                        || '","o_totalprice":' || p1 || ',"o_orderdate":"' || strftime(d, '%Y-%m-%dT%H:%M:%S.000') || '"}}' END AS doc
+                        || '","o_totalprice":' || p1 || ',"o_orderdate":"' || strftime(d, '%Y-%m-%dT%H:%M:%S.000000') || '"}}' END AS doc
             FROM last)"""
 
 
 @query("bulk_actions", f"""
     WITH {ACTIONS_SQL}
     SELECT op, id, doc FROM act
-    UNION ALL SELECT 'create', NULL, '{{"event_id":' || event_id || ',"props":"' || replace(props, '"', '\\"') || '"}}' FROM events""")
+    UNION ALL SELECT 'create', NULL, '{{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id
+        || ',"event_type":"' || event_type || '","value":' || value || ',"props":"' || replace(props, '"', '\\"') || '"}}' FROM events""")
 def bulk_actions(spark, sf_dir):
     """Keyed changes as index/delete, key-less rows as create."""
     keyed = search.bulk_actions(order_changes(spark, sf_dir), ["o_orderkey"])
-    plain = search.bulk_actions(X.read(spark, sf_dir, "events").select("event_id", "props"), None)
+    plain = search.bulk_actions(X.read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"), None)
     return keyed.unionByName(plain).select(F.col("_op").alias("op"), F.col("_id").alias("id"), "doc")
 
 
