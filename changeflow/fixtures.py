@@ -37,12 +37,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def read_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table whose rows are about to be turned into text.
 
-    A test table is one small file and would be one task. Tables of more splits than
-    cores are read as they are, without a shuffle.
+    A test table is one small file and would be one task, so rows are always dealt to the
+    session's shuffle partitions.
     """
     rows = read(spark, sf_dir, table)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, rows.columns[0])
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.columns[0])
 
 
 def schema_block(columns: list[dict]) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from changeflow.functions.parsing import once
 from changeflow.operators.schemas import ColumnSpec, conform
+from changeflow.session import materialize
 
 META = ("_table", "_kind", "_order", "_ts_ms")
 
@@ -108,11 +109,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str],
                   order: str = "_order") -> DataFrame:
     """A keyed target after a set of changes.
 
-    The changes are reduced to one row per key first, so the join sees unique keys on
-    both sides. Only keys are joined: if the reduced changes are small by Spark's own
-    estimate they are broadcast and the target is not shuffled, else both sides are.
+    The changes are reduced to one row per key and written to the shared folder, so they are
+    decoded once and the join sees unique keys on both sides. Only keys are joined: if
+    the reduced changes are small by Spark's own estimate they are broadcast and the target
+    is not shuffled, else both sides are.
     """
-    last = latest_per_key(changes, keys, order)
+    last = materialize(latest_per_key(changes, keys, order), "changes")
     kept = target.join(last.select(*keys), keys, "left_anti")
     fresh = conform(last.where("_kind NOT IN ('-D', '-U')"), target.schema)
     return kept.select(*target.columns).unionByName(fresh)

@@ -258,8 +258,8 @@ WIDER = {("int", "bigint"), ("float", "double"), ("int", "double")}
 
 
 def evolve(old: T.StructType, new: T.StructType) -> T.StructType:
-    """The merged schema. Columns may be added, int -> bigint and float -> double may
-    widen, NOT NULL may relax. An absent column stays (nullable); other changes raise."""
+    """The merged schema. Columns may be added, int -> bigint, int -> double and float -> double
+    may widen, NOT NULL may relax. An absent column stays (nullable); other changes raise."""
     incoming = {f.name: f for f in new}
     merged = []
     for f in old:
@@ -270,7 +270,7 @@ def evolve(old: T.StructType, new: T.StructType) -> T.StructType:
         a, b = f.dataType.simpleString(), g.dataType.simpleString()
         if a == b or (b, a) in WIDER:
             kind = f.dataType
-        elif (a, b) in WIDER - {("int", "double")}:
+        elif (a, b) in WIDER:
             kind = g.dataType
         else:
             raise ValueError(f"column {f.name} cannot change from {a} to {b}")
@@ -294,10 +294,13 @@ def schema_versions(events: DataFrame, table: str = "_table", schema: str = "sch
 
     A window over a whole table would put a hot table in one task. Rows are instead cut
     into equal ordered ranges, compared inside a range, and only the first and last row
-    of each range are compared across ranges (two rows per range and table).
+    of each range are compared across ranges (two rows per range and table). A 128-bit hash
+    stands for the text; the distinct texts, combined map-side, are joined to the result.
     """
-    rows = events.where(F.col(schema).isNotNull()).select(
-        F.col(table).alias("_t"), F.col(order).alias("_o"), F.col(schema).alias("_s"))
+    known = events.where(F.col(schema).isNotNull())
+    texts = known.select(F.col(schema).alias("_text")).distinct().select(F.md5("_text").alias("_s"), "_text")
+    rows = known.select(
+        F.col(table).alias("_t"), F.col(order).alias("_o"), F.md5(schema).alias("_s"))
     ranged = rows.repartitionByRange("_t", "_o").withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy("_range", "_t").orderBy("_o")
     marked = ranged.select(
@@ -310,8 +313,8 @@ def schema_versions(events: DataFrame, table: str = "_table", schema: str = "sch
     heads = marked.where("_first OR _last OR _prev <> _s").withColumn("_edge_prev", F.lag("_s").over(across))
     changed = F.when(F.col("_first"), F.col("_edge_prev").isNull() | (F.col("_edge_prev") != F.col("_s"))) \
         .otherwise(F.col("_prev") != F.col("_s"))
-    return heads.where(changed).select(
-        F.col("_t").alias(table), F.col("_o").alias(order), F.col("_s").alias(schema))
+    return heads.where(changed).join(texts, "_s").select(
+        F.col("_t").alias(table), F.col("_o").alias(order), F.col("_text").alias(schema))
 
 
 def partition_column(schema: T.StructType, name: str = "tm") -> str | None:

@@ -54,9 +54,17 @@ def test_apply_joins_keys_only(spark, folder):
         F.lit("t").alias("_table"), F.lit(0).alias("_ts_ms"))
     out = C.apply_changes(target, changes, ["k"])
     assert "LeftAnti" in plan(out) and "CartesianProduct" not in plan(out)
+    # The changes are reduced once: only their written result is read, twice.
+    assert "max_by" not in plan(out) and plan(out).count("Scan parquet") == 2
     assert out.groupBy("v").count().orderBy("v").collect() == [("x", 7), ("y", 3)]
 
 
+def test_schema_versions_shuffle_hashes(spark):
+    df = spark.sql("SELECT 't' AS _table, id AS _order, concat('text', id div 5) AS schema FROM range(10)")
+    out = S.schema_versions(df)
+    assert "md5(" in plan(out) and sorted(out.collect()) == [("t", 0, "text0"), ("t", 5, "text1")]
+
+
 def test_distribution_and_routed_write(spark, folder):
     df = spark.range(1000).select("id", F.when(F.col("id") < 900, "hot").otherwise("cold").alias("_table"))
     assert distribute(df, "_table", "id", partitions=6).rdd.getNumPartitions() == 6

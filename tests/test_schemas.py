@@ -26,6 +26,7 @@ def test_evolve_allows_and_refuses():
     assert got == T.StructType([T.StructField("id", T.LongType(), True), T.StructField("f", T.FloatType(), True),
                                 T.StructField("g", T.StringType(), True)])
     assert S.evolve(ddl("a BIGINT"), ddl("a INT")) == ddl("a BIGINT")
+    assert S.evolve(ddl("a INT"), ddl("a DOUBLE")) == S.evolve(ddl("a DOUBLE"), ddl("a INT")) == ddl("a DOUBLE")
     with pytest.raises(ValueError):
         S.evolve(ddl("a STRING"), ddl("a INT"))
 
