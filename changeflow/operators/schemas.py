@@ -235,19 +235,27 @@ def parse_schema_string(text: str) -> T.StructType:
 def read_json_rows(df: DataFrame, schema: T.StructType, value: str = "value",
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Schema-less JSON objects as typed rows: by name, missing -> NULL, extra ignored,
-    nested objects as JSON text in string columns."""
-    wire = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    parsed = once(df, "_row", F.from_json(F.col(value).cast("string"), wire, {"mode": "PERMISSIVE"}))
+    nested objects as JSON text in string columns. A column renamed by ``merge`` is read by its own name."""
+    text = F.col(value).cast("string")
+    twins = [f for f in schema if f.metadata.get(SOURCE)]
+    wire = T.StructType([T.StructField(f.name, T.StringType()) for f in schema if f not in twins])
+    parsed = once(df, "_row", F.from_json(text, wire, {"mode": "PERMISSIVE"}))
+    if twins:
+        parsed = once(parsed, "_all", F.from_json(text, "map<string,string>"))
 
     def typed(f: T.StructField) -> Column:
-        text, target = F.col(f"_row.`{f.name}`"), f.dataType.simpleString()
+        source = f.metadata.get(SOURCE)
+        text = F.try_element_at("_all", F.lit(source)) if source else F.col("_row").getField(f.name)
+        target = f.dataType.simpleString()
         if target.startswith("timestamp"):
-            return D.decode_json_timestamp(text).alias(f.name)
-        if target == "date":
-            return D.decode_date(text).alias(f.name)
-        if target.startswith("decimal"):
-            return D.fit_decimal(text, f.dataType.precision, f.dataType.scale).alias(f.name)
-        return D.coerce(text, target).alias(f.name)
+            found = D.decode_json_timestamp(text)
+        elif target == "date":
+            found = D.decode_date(text)
+        elif target.startswith("decimal"):
+            found = D.fit_decimal(text, f.dataType.precision, f.dataType.scale)
+        else:
+            found = D.coerce(text, target)
+        return found.alias(f.name, metadata=f.metadata) if source else found.alias(f.name)
 
     return parsed.select(*keep, *[typed(f) for f in schema])
 
@@ -279,13 +287,63 @@ def evolve(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(merged)
 
 
+#: Metadata of a column that was renamed: its name in the messages.
+SOURCE = "source_name"
+
+
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type for the values of both; text if there is no other."""
+    x, y = a.simpleString(), b.simpleString()
+    if x == y or (y, x) in WIDER:
+        return a
+    if (x, y) in WIDER:
+        return b
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        precision = scale + max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(precision, scale) if precision <= 38 else T.StringType()
+    if {x, y} <= {"int", "bigint", "float", "double"}:
+        return T.DoubleType()
+    return T.StringType()
+
+
+def merge(known: T.StructType, new: T.StructType) -> T.StructType:
+    """C6 without a refusal, for streams that must go on: any two types have a common one.
+
+    Columns keep their place and added ones follow. A name that differs only in case from another
+    column's gets a number, and its own name in the metadata, so that both are kept.
+    """
+    merged = {f.metadata.get(SOURCE, f.name): f for f in known}
+    taken = {f.name.lower() for f in known}
+    for g in new:
+        source = g.metadata.get(SOURCE, g.name)
+        f = merged.get(source)
+        if f is not None:
+            merged[source] = T.StructField(f.name, _common_type(f.dataType, g.dataType), True, f.metadata)
+            continue
+        name, number = source, 2
+        while name.lower() in taken:
+            name, number = f"{source}_{number}", number + 1
+        taken.add(name.lower())
+        merged[source] = T.StructField(name, g.dataType, True, {SOURCE: source} if name != source else {})
+    return T.StructType(list(merged.values()))
+
+
+def quoted(name: str) -> str:
+    """A column name as it stands in an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in the columns of ``schema``: casts to wider types, NULL for absent columns."""
-    have = set(df.columns)
-    return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema
-    ])
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
+
+    def column(f: T.StructField) -> Column:
+        found = F.col(quoted(f.name)) if f.name in have else F.lit(None)
+        # Structs of one type may differ in what may be NULL, which no cast may change.
+        return found if have.get(f.name) == f.dataType.simpleString() else found.cast(f.dataType).alias(f.name)
+
+    return df.select(*map(column, schema))
 
 
 def schema_versions(events: DataFrame, table: str = "_table", schema: str = "schema",

@@ -7,15 +7,19 @@ import uuid
 from pyspark.sql import functions as F
 
 from changeflow import fixtures as X
+from changeflow.config import JobConfig
 from changeflow.functions.accesslog import parse_access_log, split_access_log
 from changeflow.operators import changelog as C
 from changeflow.operators.schemas import table_specs
+from changeflow.plans.tables import json_to_tables, read_appended, table_path
 from changeflow.registry import query
 from changeflow.registry.decoding import EVENTS_SQL
 from changeflow.registry.schemas import two_tables
 from changeflow.session import scratch_dir
 from changeflow.sinks import files, tables
+from changeflow.sources.streams import as_kafka_rows, kafka_values, replay_stream
 from changeflow.sources.tables import catalog_scan, time_slice
+from changeflow.streaming.runner import finish
 
 
 @query("catalog_scan_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20")
@@ -78,6 +82,29 @@ def rolled_files(spark, sf_dir):
     return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 2000).alias("within_limit"))
 
 
+@query("json_tables_evolving", """
+    SELECT CAST(event_id AS INTEGER) AS id, CASE WHEN event_id % 3 = 0 THEN user_id WHEN event_id % 6 = 1 THEN event_id + 3000000000
+                                WHEN event_id % 3 = 1 THEN floor(value * 4) / 4 END::DOUBLE AS amount,
+           CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) WHEN event_id % 3 = 2 THEN event_type END AS tag,
+           CASE WHEN event_id % 3 = 2 THEN CAST(event_id AS INTEGER) END AS "ID_2",
+           CASE WHEN event_id % 3 = 2 THEN event_id % 2 = 0 END AS flag FROM events""")
+def json_tables_evolving(spark, sf_dir):
+    """The job on three runs of messages: integers; then long and fractional numbers; then new
+    fields, one of them a name in other case, and text where numbers were."""
+    e, i = X.read_spread(spark, sf_dir, "events"), F.col("event_id")
+    quarter = F.when(i % 2 == 1, F.to_json(F.struct(i.alias("id"), (i + 3000000000).alias("amount")))).otherwise(
+        F.to_json(F.struct(i.alias("id"), (F.floor(F.col("value") * 4) / 4).alias("amount"))))
+    runs = (F.to_json(F.struct(i.alias("id"), F.col("user_id").alias("amount"), F.col("user_id").alias("tag"))), quarter,
+            F.to_json(F.struct(i.alias("id"), i.alias("ID_"), F.col("event_type").alias("tag"), (i % 2 == 0).alias("flag"))))
+    messages, state, root = (scratch_dir(spark, name) for name in ("messages", "messages-state", "warehouse"))
+    config = JobConfig({"iceberg.warehouse": root, "iceberg.table": "evolving"})
+    for step, text in enumerate(runs):
+        text = F.replace(text, F.lit('"ID_"'), F.lit('"ID"'))
+        as_kafka_rows(e.where(i % 3 == step).select(text.alias("value"))).write.mode("append").parquet(messages)
+        finish(json_to_tables(kafka_values(replay_stream(spark, messages)), config, state))
+    return read_appended(spark, table_path(config, "evolving")).drop("_batch")
+
+
 @query("multi_table_counts", f"""
     WITH {EVENTS_SQL}
     SELECT 'orders' AS table_name, count(*) AS n_rows, CAST(5 AS INTEGER) AS n_columns,
