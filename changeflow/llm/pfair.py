@@ -5,8 +5,9 @@ Rows of a source are cut in blocks, its quanta. A source of weight w has its k-t
 first, among the released, gives every source in every prefix of the schedule less
 than one block more or less than its share (Baruah et al. 1996).
 
-Weights are whole parts of PERIOD, so the schedule repeats after PERIOD slots, and no more
-than one period is ever computed, whatever the size of the data: a table of PERIOD rows.
+Weights are exact fractions, so no source gains or loses by rounding, however small it is and
+however long the mixture. The schedule is as long as the mixture has blocks. One task runs it, with a
+few numbers for each source in memory, and writes one row for each block; no rows of the data go there.
 Everything else is arithmetic on a row's number within its source. Numbers come from
 counts of each input partition and a running number inside it, so no source is gathered.
 """
@@ -15,23 +16,35 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
+from math import lcm
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from changeflow.llm.common import arrow_schema
 from changeflow.session import materialize
 
-#: Slots of the repeating schedule: weights are kept to this precision.
-PERIOD = 1000
 BLOCK_ROWS = 8
+#: Blocks of the schedule that are written at a time.
+BATCH = 1 << 16
 #: Weights, if none are given: share ** TEMPER, so rare sources gain.
 TEMPER = 0.8
 NONE = "\u0000null"
 
 
-def parts(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
+def exact_parts(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("weights must be above 0")
+    scale = lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+def parts(weights: dict[str, float], period: int) -> dict[str, int]:
     """Whole parts of the period by largest remainder, at least one for every source."""
     if len(weights) > period:
         raise ValueError(f"{len(weights)} sources need a period of as many slots at least")
@@ -48,28 +61,38 @@ def parts(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     return out
 
 
-def schedule(shares: dict[str, int]) -> list[tuple[str, int, int]]:
-    """One period: (source, block of it from 0, slot from 0), earliest deadline first among the
-    released. One block runs at a time, so any order of equal deadlines is feasible: by name."""
+def schedule(shares: dict[str, int], slots: int | None = None) -> Iterator[tuple[str, int, int]]:
+    """(source, block of it from 0, slot from 0) of so many slots or one period, earliest deadline first among
+    the released. One block runs at a time, so any order of equal deadlines is feasible: by name."""
     period = sum(shares.values())
-    waiting = {s: 0 for s in shares}
-    released: list[list[str]] = [[] for _ in range(period + 1)]
-    for s in shares:
-        released[0].append(s)
-    ready: list[tuple] = []
-    out = []
-    for slot in range(period):
-        for s in released[slot]:
-            heapq.heappush(ready, (-(-(waiting[s] + 1) * period // shares[s]), s))
-        due, s = heapq.heappop(ready)
-        k = waiting[s]
+    names = sorted(shares)
+    share, done = [shares[s] for s in names], [0] * len(names)
+    ready = [(-(-period // n), i) for i, n in enumerate(share)]
+    heapq.heapify(ready)
+    waiting: list[tuple[int, int]] = []
+    for slot in range(period if slots is None else slots):
+        while waiting and waiting[0][0] <= slot:
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(done[i] + 1) * period // share[i]), i))
+        due, i = heapq.heappop(ready)
+        k = done[i]
         if slot >= due:
-            raise AssertionError(f"block {k} of {s} misses its deadline")
-        out.append((s, k, slot))
-        waiting[s] = k + 1
-        if k + 1 < shares[s]:
-            released[max(slot + 1, (k + 1) * period // shares[s])].append(s)
-    return out
+            raise AssertionError(f"block {k} of {names[i]} misses its deadline")
+        yield names[i], k, slot
+        done[i] = k + 1
+        heapq.heappush(waiting, ((k + 1) * period // share[i], i))
+
+
+def block_table(spark: SparkSession, shares: dict[str, int], slots: int) -> DataFrame:
+    """(_s, _k, _slot) of ``slots`` slots, written to the shared folder by one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            plan = schedule(shares, slots)
+            while part := list(islice(plan, BATCH)):
+                s, k, slot = zip(*part)
+                yield pa.RecordBatch.from_pydict({"_s": pa.array(s, pa.string()), "_k": pa.array(k, pa.int64()), "_slot": pa.array(slot, pa.int64())})
+
+    return materialize(spark.range(0, 1, 1, 1).mapInArrow(run, "_s string, _k long, _slot long"), "schedule")
 
 
 def numbered(df: DataFrame, group: str) -> DataFrame:
@@ -95,13 +118,13 @@ def numbered(df: DataFrame, group: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
     """The rows of ``docs`` laid out at their target weights: with mix_source, mix_epoch, mix_block, mix_slot, mix_position.
 
     The mixture is as short as holds every row: the source that is largest for its weight
     appears once, others begin again (mix_epoch 0, 1, ...) and so fill their share. Positions run from 0
-    without gaps; rows [0, n) of any n have every source at its weight, to less than one block
-    (and, for the period's precision, one part in ``period``).
+    without gaps; rows [0, n) of any n have every source at its weight, to less than one block.
+    With ``period``, weights are first rounded to whole parts of it, one at least.
 
     * a null source is a source of its own; a source of ``docs`` without a weight is an error,
       weights of sources without rows are left out; weights must be above 0;
@@ -113,40 +136,36 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     rows = numbered(docs.withColumn("mix_source", src), "mix_source")
     keys = numbered(docs.select(src.alias("mix_source")), "mix_source")
     counts = materialize(keys.groupBy("mix_source", "_pid").agg(F.count("*").alias("c")), "counts")
-    sizes = {r["mix_source"]: r["n"] for r in counts.groupBy("mix_source").agg(F.sum("c").alias("n")).limit(period + 1).collect()}
+    sizes = {r["mix_source"]: r["n"] for r in counts.groupBy("mix_source").agg(F.sum("c").alias("n")).collect()}
     if weights is None:
         weights = {s: float(n) ** TEMPER for s, n in sizes.items()}
     else:
         weights = {NONE if s is None else s: w for s, w in weights.items()}
         if missing := sorted(set(sizes) - set(weights)):
             raise ValueError(f"no weight for {missing}")
-    shares = parts({s: weights[s] for s in sizes}, period)
-    plan = schedule(shares)
-    slots = {(s, k): slot for s, k, slot in plan}
-
-    def last_position(s: str) -> int:
-        block, inside = divmod(sizes[s] - 1, block_rows)
-        turn, k = divmod(block, shares[s])
-        return (turn * period + slots[s, k]) * block_rows + inside
-
-    total = max(map(last_position, sizes), default=-1) + 1
-    table = F.broadcast(spark.createDataFrame([(s, k, slot, shares[s], sizes[s]) for s, k, slot in plan],
-                                              "s string, k long, slot long, share long, size long"))
-    sources = F.broadcast(spark.createDataFrame([(s, shares[s], sizes[s]) for s in sizes], "s string, share long, size long"))
+    if not sizes:
+        kinds = "mix_source string, mix_epoch long, mix_block long, mix_slot long, mix_position long"
+        return docs.limit(0).select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, kinds.split(", "))))
+    chosen = {s: weights[s] for s in sizes}
+    shares = exact_parts(chosen) if period is None else parts(chosen, period)
+    whole = sum(shares.values())
+    last = {s: (n - 1) // block_rows for s, n in sizes.items()}
+    # The last block that must be there is in its place at its deadline.
+    slots = max(-(-(last[s] + 1) * whole // shares[s]) for s in sizes)
+    table = block_table(spark, shares, slots)
+    sources = F.broadcast(spark.createDataFrame([(s, last[s], sizes[s]) for s in sizes], "_s string, _last long, _size long"))
+    ends = table.join(sources, "_s").where("_k = _last")
+    total = ends.agg(F.max(F.col("_slot") * block_rows + (F.col("_size") - 1) % block_rows)).first()[0] + 1
     # Where a partition's rows of a source begin: sums over counts, at most one row for each source and partition.
     before = Window.partitionBy("mix_source").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("mix_source", "_pid", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("_base"))
-    at = rows.join(offsets, ["mix_source", "_pid"]).join(sources, F.col("mix_source") == F.col("s")).drop("s")
-    # A source is due at least every ceil(period / share) slots, so a row's repeats are bounded by the length alone.
-    most = F.ceil(F.lit(total) * F.col("share") / (F.lit(period) * F.col("size"))).cast("long") + 1
-    drawn = at.select(*rows.columns, "_base", F.col("size").alias("_size"), F.col("share").alias("_share"),
-                      F.explode(F.sequence(F.lit(0).cast("long"), most)).alias("mix_epoch"))
-    place = F.col("_base") + F.col("_own") + F.col("mix_epoch") * F.col("_size")
-    drawn = drawn.withColumn("_place", place).withColumn("mix_block", F.floor(F.col("_place") / block_rows))
-    due = [F.col("mix_source") == F.col("s"), F.col("mix_block") % F.col("_share") == F.col("k")]
-    placed = drawn.join(table, due)
-    slot = F.floor(F.col("mix_block") / F.col("_share")) * period + F.col("slot")
-    out = placed.withColumn("mix_slot", slot).withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("_place") % block_rows)
-    out = out.where(F.col("mix_position") < total)
+    at = rows.join(offsets, ["mix_source", "_pid"]).withColumn("_row", F.col("_base") + F.col("_own"))
+    # A row for each place of the mixture, without texts: rows of the data are exchanged once, however often they are repeated.
+    places = table.join(sources, "_s").select("_s", "_k", "_slot", "_size", F.explode(F.sequence(F.lit(0), F.lit(block_rows - 1))).alias("_i"))
+    place = F.col("_k") * block_rows + F.col("_i")
+    places = places.select("_s", (place % F.col("_size")).alias("_at"), F.floor(place / F.col("_size")).alias("mix_epoch"), F.col("_k").alias("mix_block"),
+                           F.col("_slot").alias("mix_slot"), (F.col("_slot") * block_rows + F.col("_i")).alias("mix_position"))
+    due = [F.col("mix_source") == F.col("_s"), F.col("_row") == F.col("_at")]
+    out = at.join(places.where(F.col("mix_position") < total).hint("merge"), due)
     source = F.when(F.col("mix_source") != NONE, F.col("mix_source")).alias("mix_source")
     return out.select(*docs.columns, source, "mix_epoch", "mix_block", "mix_slot", "mix_position")

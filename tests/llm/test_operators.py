@@ -2,6 +2,7 @@ import hashlib
 import os
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -386,6 +387,25 @@ def test_mixture_has_every_row_and_the_weights(spark):
     assert pfair.mix(docs.limit(0)).count() == 0
 
 
+def test_schedule_keeps_exact_weights_however_small_and_long():
+    weights = {"big": 0.9, "mid": 0.0997, "rare": 3e-4 / 7, **{f"tail{i}": 7e-6 for i in range(30)}}
+    shares, total = pfair.exact_parts(weights), sum(map(Fraction, weights.values()))
+    done = dict.fromkeys(weights, 0)
+    for i, (source, block, slot) in enumerate(pfair.schedule(shares, 200_000)):
+        assert (block, slot) == (done[source], i)
+        done[source] += 1
+        if i % 97 == 0 or source != "big" and i % 11 == 0:
+            assert all(abs(done[s] - (i + 1) * float(Fraction(w) / total)) < 1 for s, w in weights.items())
+    assert sum(done.values()) == 200_000 and done["tail3"] in (1, 2)
+
+
+def test_mixture_does_not_raise_a_rare_source(spark):
+    docs = spark.range(3001).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "big").otherwise("tail").alias("source"), F.lit(1).alias("size"))
+    rows = pfair.mix(docs, {"big": 1, "tail": 5e-4}, block_rows=1).collect()
+    assert sorted(r["mix_position"] for r in rows) == list(range(len(rows)))
+    assert len({r["doc_id"] for r in rows}) == 3001 and sum(r["source"] == "tail" for r in rows) in (1, 2)
+
+
 # The pipeline
 
 def test_pipeline_stages_take_effect(spark):
