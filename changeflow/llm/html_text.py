@@ -19,6 +19,8 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noscript xmp noembed noframes".split())
+#: Searched in the page itself: lower-casing may change the length of a text.
+RAW_END = {name: re.compile("</" + name, re.I | re.A) for name in RAW}
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s
  samp small span strike strong sub sup time tt u var wbr""".split())
 #: Elements that are never article text.
@@ -62,7 +64,7 @@ def main_text(page: str | None) -> str:
     blocks: list[list] = []  # element, pieces, characters in links
     block = None
     links = articles = 0
-    at, end, lowered = 0, len(page), None
+    at, end = 0, len(page)
 
     def close(depth: int) -> None:
         nonlocal links, articles, block
@@ -129,11 +131,10 @@ def main_text(page: str | None) -> str:
         if name in VOID:
             continue
         if name in RAW:
-            lowered = lowered or page.lower()
-            raw_end = lowered.find("</" + name, at)
-            if raw_end < 0:
+            raw_end = RAW_END[name].search(page, at)
+            if raw_end is None:
                 break
-            close_at = page.find(">", raw_end)
+            close_at = page.find(">", raw_end.end())
             at = close_at + 1 if close_at >= 0 else end
             continue
         if match[3].endswith("/") and name not in INLINE | SCOPE | {"p"}:

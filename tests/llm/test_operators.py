@@ -49,6 +49,12 @@ def test_html_without_text(page):
     assert html_text.main_text(page) == ""
 
 
+def test_html_with_letters_that_grow_when_lowered():
+    dots = "\u0130" * 50
+    page = f"<p>{dots}</p><SCRIPT>var a;</Script><p>One, two three four five six seven eight nine ten</p><style>b</style><p>last</p>"
+    assert html_text.main_text(page) == f"{dots}\nOne, two three four five six seven eight nine ten\nlast"
+
+
 def test_html_query_rows(spark):
     pages = spark.createDataFrame([(1, None, "<p>ä</p>", "q"), (None, "u", None, "q"), (1, None, "<p>ä</p>", "q")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html_text.extract(pages).collect()), key=str) == sorted([(1, None, "ä", 1), (None, "u", "", 0), (1, None, "ä", 1)], key=str)
