@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changeflow.llm.common import read
-from changeflow.session import prepare
+from changeflow.session import materialize, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,9 +32,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.sharding import shuffle_into_shards
 
     value = F.coalesce("text", F.lit(""))
-    docs = read(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(value) + 16).cast("long").alias("size"), F.crc32(value.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"))
-    return shuffle_into_shards(docs).withColumn("grown_shard", F.lit(None).cast("int"))
+    # Written, so that whole documents are dealt, exchanged and permuted.
+    docs = materialize(shuffle_into_shards(read(spark, sf_dir, "documents")), "shards")
+    return docs.select(
+        "doc_id", (F.octet_length(value) + 16).cast("long").alias("size"), F.crc32(value.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 _JOINED = r"""trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -84,8 +86,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents laid out so that every prefix has the sources at their target weights."""
     from changeflow.llm.pfair import mix
 
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source")
-    return mix(docs).select("doc_id", "source", "mix_epoch", "mix_block", "mix_slot", "mix_position")
+    # Written, so that whole documents are mixed.
+    docs = materialize(mix(read(spark, sf_dir, "documents")), "mixture")
+    return docs.select("doc_id", "source", "mix_epoch", "mix_block", "mix_slot", "mix_position")
 
 
 @query("pipeline")

@@ -23,6 +23,8 @@ from changeflow.llm.common import arrow_schema, mix
 SHARDS = 40
 #: Rows of a chunk, the unit that is permuted in one sort.
 CHUNK_ROWS = 1 << 17
+#: Bytes of text in a chunk, about: chunks are random rows, so of mean size.
+CHUNK_BYTES = 128 << 20
 #: Above it numpy's sampler does not draw.
 NUMPY_LIMIT = 10**9
 
@@ -80,7 +82,7 @@ def exact_sizes(n: int, shards: int, chunk_rows: int) -> tuple[np.ndarray, np.nd
     return capacity, shard, first
 
 
-def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20, chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``df`` with ``shard`` (int, from 0) and ``slot`` (long, gapless from 0 in each shard).
 
     Every permutation of the rows over the places is equally likely, up to the generator. The same
@@ -91,10 +93,13 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20, chu
     shards empty; an empty table gives no rows; other columns are carried along, names that
     clash are an error of Spark's.
     """
-    per_partition = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    sized = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum((c.cast("long") for c in sized), F.lit(0).cast("long"))
+    per_partition = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).collect()
     found = {r["p"]: r["n"] for r in per_partition}
     sizes = np.array([found.get(p, 0) for p in range(max(found, default=-1) + 1)], np.int64)
-    capacity, shard, first = exact_sizes(int(sizes.sum()), shards, chunk_rows)
+    mean = sum(r["bytes"] for r in per_partition) // max(int(sizes.sum()), 1)
+    capacity, shard, first = exact_sizes(int(sizes.sum()), shards, max(1, min(chunk_rows, chunk_bytes // max(mean, 1))))
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast((sizes, capacity))
     extra = T.StructType([T.StructField("_chunk", T.IntegerType()), T.StructField("_key", T.LongType())])

@@ -86,6 +86,15 @@ def test_shards_are_even_gapless_and_repeatable(spark):
     assert sharding.shuffle_into_shards(table(spark, ["a", None, "a"]).drop("shard")).count() == 3
 
 
+def test_chunks_are_bounded_by_bytes(spark, monkeypatch):
+    found = []
+    sizes = sharding.exact_sizes
+    monkeypatch.setattr(sharding, "exact_sizes", lambda *a: found.append(sizes(*a)) or found[-1])
+    docs = table(spark, ["x" * 1000] * 300).drop("shard")
+    rows = sharding.shuffle_into_shards(docs, 4, chunk_bytes=10_100).select("shard", "slot").collect()
+    assert max(found[0][0]) <= 10 and len(set(rows)) == 300 and {r["shard"] for r in rows} == set(range(4))
+
+
 def test_shuffle_is_uniform(spark):
     docs = spark.range(40).repartition(4)
     first = np.zeros((40, 4))
