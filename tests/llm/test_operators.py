@@ -309,6 +309,15 @@ def test_languages_of_held_out_documents(spark):
     assert langid.languages(docs.limit(0)).count() == 0
 
 
+def test_languages_do_not_change_with_the_size_of_slices(spark):
+    texts = [("hot", " ".join(f"{a}{b}a" for a in "abcdefgh" for b in "klmnop"))] * 30 + [("rare", "zażółć gęślą jaźń")] * 2
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    whole, cut = (langid.train(docs, n) for n in (10**6, 40))
+    assert len(whole.shared) == 1 and len(cut.shared) > 3 and whole.langs == cut.langs == ["hot", "rare"]
+    a, b = (sorted(map(tuple, langid.identify(docs, m).collect())) for m in (whole, cut))
+    assert a == b and [r[1] for r in a] == [lang for lang, _ in texts]
+
+
 def test_kneser_ney_probabilities_add_up():
     texts = ["the cat sat on the mat", "a bat that sat"]
     key, _, _ = langid.symbols(texts)
