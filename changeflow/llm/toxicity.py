@@ -105,13 +105,17 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = marked.where(fold() != 0)
     size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}
-    rate = F.when(F.col("toxic") == 1, max_toxic / max(size.get(1, 0), 1)).otherwise(max_clean / max(size.get(0, 0), 1))
+    rates = [min(most / max(size.get(label, 0), 1), 1.0) for label, most in ((0, max_clean), (1, max_toxic))]
+    rate = F.when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
     draw = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 20)) / (1 << 20)
     # At most about max_toxic + max_clean rows, so small enough to broadcast.
     sample = known.where(F.col("toxic").isin(0, 1)).where(draw < rate)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     one = chosen.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", "text"), "doc_id").select("text", "toxic")
-    return materialize(one.mapInArrow(_fit_task, "at array<int>, w array<float>, bias double"), "toxicity")
+    fitted = one.mapInArrow(_fit_task, "at array<int>, w array<float>, bias double")
+    # The sample has other odds than the labels; the bias brings those of the labels back.
+    odds = float(np.log(rates[0] / rates[1]))
+    return materialize(fitted.withColumn("bias", F.col("bias") + odds), "toxicity")
 
 
 def score(docs: DataFrame, model: DataFrame, name: str = "score") -> DataFrame:

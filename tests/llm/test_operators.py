@@ -348,6 +348,14 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.drop_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxicity_keeps_the_odds_of_the_labels(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)], "doc_id long, toxic int")
+    docs = table(spark, [""] * 1000)
+    for clean in (10**6, 50):
+        found = toxicity.score(docs, toxicity.train(docs, labels, 10**6, clean)).first()["score"]
+        assert abs(found - 0.5) < 0.2
+
+
 # Operator 9
 
 def test_edit_fingerprints(spark):
