@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -83,6 +85,13 @@ def chunks(sizes: list[int], most: int):
         yield start, len(sizes)
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, with ``most`` bytes of the column together or one row, before anything becomes Python objects."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    for lo, hi in chunks(sizes.tolist(), most):
+        yield batch.slice(lo, hi - lo)
+
+
 def arrow_schema(df: DataFrame, extra: T.StructType) -> T.StructType:
     return T.StructType(df.schema.fields + extra.fields)
 

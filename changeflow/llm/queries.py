@@ -139,3 +139,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.editprint import fingerprints
 
     return fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op11_bag_ranked_search", r"""
+WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+asked AS (SELECT item_id, text, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT item_id, term, count(*) AS q FROM asked GROUP BY ALL),
+size AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM size),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+score AS (SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN size USING (doc_id), total GROUP BY item_id, doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM score WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from changeflow.llm.lexical import search
+
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
