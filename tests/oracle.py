@@ -65,12 +65,12 @@ if __name__ == "__main__":
     spark = local_session(8)
     con = connect(sf_dir)
     failed = 0
-    for name, fn in entry.queries().items():
+    for name, sql in entry.oracle_sql().items():
         if names and name not in names:
             continue
         start = time.time()
         try:
-            report = compare(spark, con, name, fn, entry.oracle_sql()[name], sf_dir)
+            report = compare(spark, con, name, entry.queries()[name], sql, sf_dir)
         except Exception as error:  # noqa: BLE001
             report = f"{type(error).__name__}: {str(error)[:600]}"
         failed += report is not None
