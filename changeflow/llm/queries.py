@@ -160,3 +160,38 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.lexical import search
 
     return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _secrets_sql() -> str:
+    from changeflow.llm.secret_scan import MIXED, PATTERNS, VARIETY, WIDE
+
+    quoted = {kind: pattern.replace("'", "''") for kind, pattern in [*PATTERNS.items(), ("live", MIXED)]}
+    matched = " UNION ALL ".join(f"""
+      SELECT doc_id, source, '{kind}' AS kind, {k} AS k, string_split_regex(text, '{p}') AS pieces, regexp_extract_all(text, '{p}') AS found,
+        regexp_extract_all(text, '{p}', {int(kind == "assign")}) AS vals FROM d WHERE regexp_matches(text, '{p}')""" for k, (kind, p) in enumerate(quoted.items()))
+    return f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+matched AS ({matched}),
+numbered AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matched),
+span AS (SELECT doc_id, source, kind, k, vals[i] AS v,
+    CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(found[i]) AS n
+  FROM numbered WHERE length(vals[i]) >= 6),
+base AS (SELECT *, a + n AS b FROM span WHERE kind <> 'live'),
+looks AS (SELECT *, a + n AS b, regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= {VARIETY} AS varied FROM span),
+cand AS (SELECT * FROM looks l WHERE kind <> 'live' OR (varied AND NOT EXISTS (SELECT 1 FROM base o WHERE o.doc_id = l.doc_id AND l.a < o.b AND o.a < l.b))),
+owned AS (SELECT v, count(DISTINCT source) AS owners, bool_or(varied) AS varied FROM cand GROUP BY v),
+label AS (SELECT v, CASE WHEN owners >= {WIDE} THEN 'example' WHEN owners = 1 AND varied THEN 'live' ELSE 'plain' END AS label FROM owned),
+told AS (SELECT doc_id, kind, k, a, concat(kind, ':', a, ':', b) AS word, label FROM cand JOIN label USING (v)),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(word, ',' ORDER BY a, k) FILTER (kind <> 'live') AS base, string_agg(word, ',' ORDER BY a, k) FILTER (kind <> 'live' OR label = 'live') AS spans,
+    count(*) FILTER (label = 'example') AS n_example, count(*) FILTER (label = 'live') AS n_live FROM told GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_example, 0) AS n_example, coalesce(n_live, 0) AS n_live FROM d LEFT JOIN per USING (doc_id)"""
+
+
+@query("op13_ownership_secret_scan", _secrets_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, told from examples by the owners of their values."""
+    from changeflow.llm.secret_scan import scan
+
+    return scan(read(spark, sf_dir, "documents"))
