@@ -195,3 +195,13 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.secret_scan import scan
 
     return scan(read(spark, sf_dir, "documents"))
+
+
+@query("op12_pair_hash_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over every document, with corpus-wide pair counts."""
+    import public_tokenizers
+
+    from changeflow.llm.alignment import align
+
+    return align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
