@@ -53,7 +53,7 @@ def digest(windows, *keys):
         F.sum(F.col("cnt") * number).alias("checksum"))
 
 
-ORDER_STATS = (Stat("sum", "total_unit", "unit", "int"), Stat("avg", "avg_price", "price", "float"))
+ORDER_STATS = (Stat("sum", "total_unit", "unit", "int", as_sum="bigint"), Stat("avg", "avg_price", "price", "float"))
 
 
 def product_orders(spark, sf_dir):

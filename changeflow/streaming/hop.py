@@ -2,28 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.operators.windows import COUNT, DEFAULT_HOP, Hop, Stat, hop_direct
+from changeflow.operators.windows import COUNT, DEFAULT_HOP, MICROS, Hop, Stat, hop_direct
+
+WATERMARK = 5
+#: Settings of queries with state: open panes and windows of all keys are kept off the heap.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
-WATERMARK = "5 seconds"
+
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """T5: for queries that start from now on. A checkpoint goes on with the store it began with."""
+    for key, value in ROCKSDB.items():
+        spark.conf.set(key, value)
 
 
 def hop_stream(df: DataFrame, ts: str, keys: list[str], stats: tuple[Stat, ...] = COUNT,
-               hop: Hop = DEFAULT_HOP, delay: str = WATERMARK) -> DataFrame:
-    """Each window once, when the watermark passes its end; rows of windows that
-    have already been emitted are dropped. State is evicted with the watermark (T5).
+               hop: Hop = DEFAULT_HOP, delay: int = WATERMARK) -> DataFrame:
+    """Each window once, when the watermark (``delay`` seconds behind) passes its end.
+
+    A late row counts in those of its windows that are still open and is dropped if there are none;
+    rows without a time are in no window. For a key that holds no rows all windows up to the
+    watermark are closed.
 
-    The direct form is used on purpose: pane pre-aggregation as a stateful step would
-    drop a late row for windows that are still open. At scale run it with the RocksDB
-    state store, which keeps the open windows of all keys off the heap.
+    The event time given to Spark is that of a row's last window, with the delay longer by as much: the
+    watermark is the same, and Spark's own filter drops just the rows that no window waits for.
     """
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    return hop_direct(timed, ts, keys, stats, hop)
+    from changeflow.streaming.panes import Panes
 
+    keep_state_in_rocksdb(df.sparkSession)
+    prefix = "x"
+    while any(k.lower().startswith(prefix) for k in keys):
+        prefix += "x"
+    pane = f"{prefix}_pane"
+    parts = {k: v for s in stats for k, v in s.addends().items()}
+    us, slide = F.unix_micros(F.col(ts).cast("timestamp")), F.lit(hop.slide * MICROS)
+    timed = df.where(F.col(ts).isNotNull()).select(
+        *keys, F.timestamp_micros(us + F.lit(hop.size * MICROS)).alias("_due"),
+        F.call_function("div", us - F.pmod(us, slide), slide).alias(pane),
+        *[v.alias(prefix + k) for k, v in parts.items()]).withWatermark("_due", f"{hop.size + delay} seconds")
+    kinds = {f.name: f.dataType.simpleString() for f in timed.schema}
+    sums = {prefix + k: kinds[prefix + k] for k in parts}
+    made = {k: kinds[k] for k in keys} | {"_from": "bigint", "_to": "bigint"} | sums
+    runs = timed.groupBy(*keys).transformWithStateInPandas(
+        Panes(keys, pane, sums, hop.slide * 1000, hop.panes), ", ".join(f"`{k}` {kind}" for k, kind in made.items()), "append", "EventTime")
+    runs = runs.withColumnsRenamed({prefix + k: k for k in parts})
+    end = F.col("_w") * F.lit(hop.slide * MICROS)
+    return runs.withColumn("_w", F.explode(F.sequence("_from", "_to"))).select(
+        *keys, F.timestamp_micros(end - F.lit(hop.size * MICROS)).alias("window_start"),
+        F.timestamp_micros(end).alias("window_end"), *[s.settled() for s in stats])
 
-ROCKSDB = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+
+def hop_stream_direct(df: DataFrame, ts: str, keys: list[str], stats: tuple[Stat, ...] = COUNT,
+                      hop: Hop = DEFAULT_HOP, delay: int = WATERMARK) -> DataFrame:
+    """The same through ``F.window``: every row is copied into each of its windows, and state holds a row for each open window of each key."""
+    keep_state_in_rocksdb(df.sparkSession)
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{delay} seconds")
+    return hop_direct(timed, ts, keys, stats, hop)
