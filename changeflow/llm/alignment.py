@@ -33,7 +33,7 @@ from changeflow.llm.simple8b import Encoder, beside
 from changeflow.session import materialize, scratch_dir
 
 #: Bytes of the texts of a chunk; a longer text is a chunk of its own.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: Distinct pairs of a slice, about.
 SLICE = 1 << 18
 #: Rows of a chunk's pairs that one task adds into a vector, about, and vectors that are summed at a time.
@@ -42,7 +42,7 @@ FAN = 8
 #: Links that are looked at together. A larger group is looked at by distinct ids.
 LINKS = 1 << 21
 #: Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Bits for each key on a level of the hash.
 GAMMA = 2
 
@@ -71,6 +71,8 @@ class Tokenizers:
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
         self.width_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.width_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        #: How ids are kept.
+        self.kind = "<u2" if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else "<u4"
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _checked(self, units: list[str], ids_a: list[bytes], ids_b: list[list[int]]) -> list[tuple[bytes, bytes] | None]:
@@ -265,7 +267,7 @@ def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "chunk": pa.array([chunk], pa.int64()), "docs": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                     "n_a": pa.array([n_a], pa.list_(pa.int64())), "n_b": pa.array([n_b], pa.list_(pa.int64())),
-                    "a": pa.array([a.astype("<u4").tobytes()], pa.binary()), "b": pa.array([b.astype("<u4").tobytes()], pa.binary())})
+                    "a": pa.array([a.astype(own.kind).tobytes()], pa.binary()), "b": pa.array([b.astype(own.kind).tobytes()], pa.binary())})
                 chunk += 1
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -276,7 +278,7 @@ def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def _alignment(row: pa.Table | pa.RecordBatch, i: int, own: Tokenizers) -> Alignment:
-    a, b = (np.frombuffer(row[c][i].as_buffer(), "<u4") for c in "ab")
+    a, b = (np.frombuffer(row[c][i].as_buffer(), own.kind) for c in "ab")
     n_a, n_b = (row[c][i].values.to_numpy() for c in ("n_a", "n_b"))
     return Alignment(a, n_a, b, n_b, own.width_a, own.width_b)
 
