@@ -127,13 +127,11 @@ def customer_hours(spark, sf_dir):
 
 @query("upsert_composite_key", LAST_WRITE_SQL)
 def upsert_composite_key(spark, sf_dir):
-    """Last write per (customer, hour) in a keyed table: two batches, a
-    compaction and a repeated batch."""
+    """Last write per (customer, hour) in a keyed table: two batches and a repeated one."""
     table, early, late = customer_hours(spark, sf_dir)
-    table.upsert(early, 0)
-    table.compact()
-    table.upsert(late, 1)
-    table.upsert(early, 0)
+    table.upsert(early)
+    table.upsert(late)
+    table.upsert(early)
     return table.read()
 
 
@@ -141,9 +139,8 @@ def upsert_composite_key(spark, sf_dir):
 def late_event_in_later_batch(spark, sf_dir):
     """The order of the events decides, also where older ones come in a later batch."""
     table, early, late = customer_hours(spark, sf_dir)
-    table.upsert(late, 0)
-    table.compact()
-    table.upsert(early, 1)
+    table.upsert(late)
+    table.upsert(early)
     return table.read()
 
 
@@ -151,8 +148,8 @@ def late_event_in_later_batch(spark, sf_dir):
 def restart_new_checkpoint(spark, sf_dir):
     """Batch ids that begin again with a new checkpoint neither hide nor replace rows."""
     table, early, late = customer_hours(spark, sf_dir)
-    table.upsert(early, 0, "first")
-    table.upsert(late, 0, "second")
+    table.upsert(early)
+    table.upsert(late)
     return table.read()
 
 
@@ -169,8 +166,8 @@ def restart_idempotent(spark, sf_dir):
     def work(batch, batch_id):
         changes = C.changelog(C.data_events(open_envelope(batch.select("value"))))
         decoded = C.project_images(changes, specs)
-        table.upsert(decoded, batch_id)
-        table.upsert(decoded, batch_id)
+        table.upsert(decoded)
+        table.upsert(decoded)
 
     events = X.order_events(spark, sf_dir)
     for step in (events.where("seq = 1"), events.where("seq > 1")):

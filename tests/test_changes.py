@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from changeflow.operators import changelog as C
@@ -23,28 +25,90 @@ def test_any_batching_gives_the_same_state(spark):
         assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
-def test_keyed_table_batches_compaction_evolution(spark, folder):
+def test_keyed_table_batches_and_evolution(spark, folder):
+    """Repeated batches, deletes, a wider type, an added column, a number that becomes text."""
     random.seed(3)
-    table, state, order = KeyedTable(spark, folder, ["k"]), {}, 0
-    for batch in range(6):
+    table, state, order = KeyedTable(spark, folder, ["k"], buckets=4), {}, 0
+    for batch in range(7):
         data = []
         for _ in range(40):
             order += 1
             k, kind = random.randrange(15), random.choice(["+I", "+U", "+U", "-D"])
             data.append((k, order, kind, order))
             state.pop(k, None) if kind == "-D" else state.__setitem__(k, order)
-        kind = "BIGINT" if batch >= 3 else "INT"
-        df = spark.createDataFrame(data, f"k INT, v {kind}, _kind STRING, _order INT")
+        df = spark.createDataFrame(data, f"k INT, v {'BIGINT' if batch >= 3 else 'INT'}, _kind STRING, _order INT")
         if batch == 5:
             df = df.withColumn("note", F.lit("new"))
-        assert table.upsert(df, batch)
-        assert not table.upsert(df, batch)
-        if batch == 2:
-            table.compact()
+        if batch == 6:
+            df = df.withColumn("v", F.col("v").cast("string"))
+            state = {k: str(v) for k, v in state.items()}
+        table.upsert(df)
+        table.upsert(df.where("_order % 2 = 0"))
         assert dict(rows(table.read().select("k", "v"))) == state
-    assert table.read().columns == ["k", "v", "note"] and table.read().schema["v"].dataType.simpleString() == "bigint"
-    assert [r["kind"] for r in table.commits().collect()] == ["base"] + ["delta"] * 3
-    assert [r["seq"] for r in table.history().collect()] == list(range(1, 8))
+    assert table.read().dtypes == [("k", "int"), ("v", "string"), ("note", "string")]
+
+
+def change(spark, *data):
+    return spark.createDataFrame(data, "k INT, v STRING, _kind STRING, _order INT")
+
+
+def test_keyed_table_keeps_marks_of_deleted_keys(spark, folder):
+    table = KeyedTable(spark, folder, ["k"])
+    table.upsert(change(spark, (1, "a", "+I", 1), (2, "b", "+I", 1)))
+    table.upsert(change(spark, (1, None, "-D", 5)))
+    table.upsert(change(spark, (1, "old", "+U", 3), (2, "older", "+U", 0)))
+    assert rows(table.read()) == [(2, "b")]
+    table.upsert(change(spark, (1, "again", "+I", 6), (None, "no key", "+I", 1)))
+    assert sorted(rows(table.read()), key=str) == [(1, "again"), (2, "b"), (None, "no key")]
+    table.upsert(change(spark))
+    assert table.read().count() == 3
+
+
+def test_keyed_table_of_an_empty_batch(spark, folder):
+    table = KeyedTable(spark, folder, ["k"])
+    assert table.schema() is None
+    table.upsert(change(spark))
+    assert table.read().columns == ["k", "v"] and table.read().count() == 0
+
+
+def test_keyed_table_replaces_touched_folders_only(spark, folder):
+    table = KeyedTable(spark, folder, ["k"], buckets=16)
+    table.upsert(change(spark, *((k, "a", "+I", 1) for k in range(200))))
+
+    def files():
+        # The files themselves, not the read path: a rewritten folder has files of another name.
+        return {r[0] for r in spark.read.parquet(f"{folder}/v0").select(F.input_file_name()).distinct().collect()}
+
+    before = files()
+    table.upsert(change(spark, (7, "b", "+U", 2)))
+    after = files()
+    assert len(before) == 16 and len(after - before) == 1 and len(before - after) == 1
+    assert rows(table.read().where("v = 'b'")) == [(7, "b")] and table.read().count() == 200
+
+
+def test_keyed_table_finishes_what_a_dead_writer_began(spark, folder, monkeypatch):
+    """Whether the writer dies before, in or after the replacement, no row is lost and none comes twice."""
+    table = KeyedTable(spark, folder, ["k"], buckets=2)
+    table.upsert(change(spark, *((k, "a", "+I", 1) for k in range(20))))
+
+    def dies(self, rows, version):
+        # A folder is gone, its replacement isn't there yet.
+        kept = spark.read.parquet(f"{folder}/v{version}").where("_bucket = 0").select("k").collect()
+        rows.where("_bucket = 1").write.mode("overwrite").partitionBy("_bucket").parquet(f"{folder}/v{version}")
+        assert kept
+        raise RuntimeError("dead")
+
+    monkeypatch.setattr(KeyedTable, "_publish", dies)
+    batch = change(spark, *((k, "b", "+U", 2) for k in range(0, 30, 3)))
+    with pytest.raises(RuntimeError):
+        table.upsert(batch)
+    monkeypatch.undo()
+    want = {k: "a" for k in range(20)} | {k: "b" for k in range(0, 30, 3)}
+    # Another writer's batch comes first.
+    KeyedTable(spark, folder, ["k"]).upsert(change(spark, (100, "c", "+I", 3)))
+    assert dict(rows(table.read())) == want | {100: "c"}
+    table.upsert(batch)
+    assert dict(rows(table.read())) == want | {100: "c"} and table.read().count() == len(want) + 1
 
 
 def test_hot_key_is_combined_before_the_shuffle(spark):
