@@ -13,7 +13,7 @@ from changeflow.registry import query
 from changeflow.registry.decoding import EVENTS_SQL, KIND_SQL, MONEY_SQL, order_changes
 from changeflow.session import scratch_dir
 from changeflow.sinks.keyed import KeyedTable
-from changeflow.sources.snapshot import snapshot_chunks as chunks
+from changeflow.sources.snapshot import interleave, loaded_rows, read_waves, snapshot_chunks as chunks, within
 from changeflow.sources.streams import as_kafka_rows, kafka_values, replay_stream
 from changeflow.streaming.runner import finish, run_batches
 
@@ -208,7 +208,7 @@ def route_by_source_table(spark, sf_dir):
            CASE WHEN lo + (chunk + 1) * step <= hi THEN lo + (chunk + 1) * step END AS upper FROM c""")
 def snapshot_chunks(spark, sf_dir):
     """Key ranges of an evenly spread key."""
-    return chunks(X.read(spark, sf_dir, "orders"), "o_orderkey")
+    return chunks(X.read(spark, sf_dir, "orders"), "o_orderkey", strategy="even")
 
 
 @query("snapshot_chunks_ranked", """
@@ -218,3 +218,48 @@ def snapshot_chunks(spark, sf_dir):
 def snapshot_chunks_ranked(spark, sf_dir):
     """Key ranges of a key that arithmetic cannot cut."""
     return chunks(X.read(spark, sf_dir, "events").select("ts").distinct(), "ts")
+
+
+@query("snapshot_read_by_chunks", f"""
+    WITH {EVENTS_SQL},
+    m AS (SELECT min(k) AS lo, CAST(floor((max(k) - min(k) + 1) / count(*) * 500) AS BIGINT) AS step, max(k) AS hi, min(t) AS t0, max(t) + 2000 - min(t) AS span FROM o),
+    c AS (SELECT *, CAST(ceil((hi - lo + 1) / step) AS BIGINT) AS chunks FROM m),
+    p AS (SELECT *, (chunks + 3) // 4 AS per FROM c),
+    w AS (SELECT *, (chunks + per - 1) // per AS waves FROM p),
+    seen AS (SELECT ev.*, t0 + span * (3 * (((k - lo) // step) // per) + 3) // (3 * waves + 1) AS high FROM ev, w),
+    per_key AS (
+        SELECT k, CAST(coalesce(arg_max(op, seq) FILTER (ts_ms <= high), 'd') <> 'd' AS BIGINT) AS n_snapshot, count(*) FILTER (ts_ms > high) AS n_log,
+               arg_max(op, seq) AS op, arg_max(s, seq) AS s, arg_max(c, seq) AS c FROM seen GROUP BY k)
+    SELECT k AS o_orderkey, n_snapshot, n_log, {KIND_SQL} = '-D' AS deleted, s AS o_orderstatus, {MONEY_SQL.format('c')} AS o_totalprice
+    FROM per_key WHERE n_snapshot + n_log > 0""")
+def snapshot_read_by_chunks(spark, sf_dir):
+    """Orders are read in four waves of key ranges while they change. The position of the log and
+    the table move on with every step of the load; each key has its row of the load, if it had one at the end of its wave,
+    and the changes since."""
+    changes = order_changes(spark, sf_dir).drop("_table")
+    start, end = changes.agg(F.min("_ts_ms"), F.max("_ts_ms")).first()
+    plan = chunks(X.read(spark, sf_dir, "orders"), "o_orderkey", 500, strategy="even")
+    n = plan.count()
+    steps, tick = 3 * -(-n // -(-n // 4)) + 1, 0
+
+    def now():
+        nonlocal tick
+        tick += 1
+        return start + (end - start) * tick // steps
+
+    def read(bounds):
+        return C.state_as_of(changes.where(within("o_orderkey", bounds[0][0], bounds[-1][1])), KEY, now())
+
+    out = scratch_dir(spark, "load")
+    notes = read_waves(plan, "o_orderkey", read, now, out, waves=4)
+    every = interleave(loaded_rows(notes, out), notes, changes, "o_orderkey", F.col("_ts_ms"), log_place)
+    loaded = F.col("_order.file").isNull()
+    return every.groupBy("o_orderkey").agg(
+        F.count_if(loaded).alias("n_snapshot"), F.count_if(~loaded).alias("n_log"), (F.max_by("_kind", "_order") == "-D").alias("deleted"),
+        F.max_by("o_orderstatus", "_order").alias("o_orderstatus"), F.max_by("o_totalprice", "_order").alias("o_totalprice"))
+
+
+def log_place(position):
+    """The order of a row that stands for everything up to a position."""
+    none = F.lit(None)
+    return F.struct(position.alias("ts_ms"), none.cast("string").alias("file"), none.cast("bigint").alias("pos"), none.cast("bigint").alias("row"))

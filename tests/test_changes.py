@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from changeflow.operators import changelog as C
 from changeflow.registry.decoding import order_changes
 from changeflow.sinks.keyed import KeyedTable
-from changeflow.sources.snapshot import snapshot_chunks
+from changeflow.sources.snapshot import interleave, jdbc_predicates, loaded_rows, read_waves, snapshot_chunks, within
 from changeflow.session import materialize
 from conftest import SF, rows
 
@@ -128,7 +128,66 @@ def test_ranked_chunks_cover_all_keys_once(spark):
     assert sizes == [100, 100, 67]
 
 
-def test_sparse_integer_keys_fall_back_to_ranks(spark):
+def test_strategies_of_chunks(spark):
     df = spark.range(300).select((F.col("id") * F.col("id") * 1000).alias("k"))
     assert snapshot_chunks(df, "k", split_size=100).count() == 3
+    assert snapshot_chunks(df, "k", split_size=100, strategy="by_density").count() == 3
+    assert rows(snapshot_chunks(spark.range(300), "id", 100, "by_density"), "chunk") == [(0, None, 100), (1, 100, 200), (2, 200, None)]
+    for wrong in (lambda: snapshot_chunks(df, "k", strategy="other"), lambda: snapshot_chunks(df.select(F.col("k").cast("string")), "k", strategy="even")):
+        with pytest.raises(ValueError):
+            wrong()
     assert rows(snapshot_chunks(df.where("k < 0"), "k")) == [(0, None, None)]
+
+
+def test_predicates_of_chunks():
+    assert jdbc_predicates("k", [(None, 5), (5, 9), (9, None)]) == ["(k < 5) OR k IS NULL", "k >= 5 AND k < 9", "k >= 9"]
+    assert jdbc_predicates("k", [(None, None)]) == ["(1 = 1) OR k IS NULL"] and jdbc_predicates("k", [("a'b", None)]) == ["k >= 'a''b'"]
+
+
+def test_load_goes_on_after_a_failure_and_takes_changes_of_its_time(spark, folder):
+    """Rows change before, while and after they are read; the load dies once and is started again."""
+    log = [(k, f"v{k}", "+I", 0) for k in range(40)]
+    state = {k: f"v{k}" for k in range(40)} | {None: "none"}
+    clock, died = [0], []
+    log.append((None, "none", "+I", 0))
+
+    def change(at):
+        for k in (at % 40, (at * 7) % 40, 39 - at % 40):
+            if (at + k) % 3:
+                state[k] = f"w{at}-{k}"
+                log.append((k, state[k], "+U", at))
+            elif k in state:
+                del state[k]
+                log.append((k, None, "-D", at))
+
+    def position():
+        clock[0] += 1
+        change(clock[0])
+        return clock[0]
+
+    def read(bounds):
+        if bounds[0][0] == 20 and not died:
+            died.append(True)
+            raise RuntimeError("dead")
+        position()
+        data = spark.createDataFrame(list(state.items()), "k INT, v STRING")
+        lower, upper = bounds[0][0], bounds[-1][1]
+        found = data.where(within("k", lower, upper))
+        position()
+        return found
+
+    plan = snapshot_chunks(spark.createDataFrame([(k,) for k in range(40)], "k INT"), "k", 5)
+    with pytest.raises(RuntimeError):
+        read_waves(plan, "k", read, position, folder, waves=4)
+    notes = read_waves(plan, "k", read, position, folder, waves=4)
+    assert notes.count() == 4 and died
+    for _ in range(5):
+        position()
+    changes = spark.createDataFrame(log, "k INT, v STRING, _kind STRING, _order INT")
+    every = interleave(loaded_rows(notes, folder), notes, changes, "k", F.col("_order"), lambda at: at)
+    loaded = every.where("_kind = '+I'")
+    assert loaded.select("k").distinct().count() == loaded.count()
+    assert dict(rows(C.current_state(every, ["k"]))) == state
+    # Changes that the load has are not repeated.
+    after = {r["wave"]: r["high"] for r in notes.collect()}
+    assert every.where("_kind <> '+I'").count() == sum(at > after[0 if k is None or k < 10 else k // 10] for k, _, _, at in log if at)
