@@ -20,6 +20,7 @@ every document has is one row for each chunk.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import compress
 
@@ -41,8 +42,9 @@ ROWS = 1 << 19
 FAN = 8
 #: Links that are looked at together. A larger group is looked at by distinct ids.
 LINKS = 1 << 21
-#: Words whose ids a worker remembers.
-REMEMBERED = 100_000
+#: Words whose ids a worker remembers, and words after those, forgotten together.
+REMEMBERED = 150_000
+RECENT = 100_000
 #: Bits for each key on a level of the hash.
 GAMMA = 2
 
@@ -73,23 +75,29 @@ class Tokenizers:
         self.width_b = np.array([len(x) for x in self.bytes_b], np.int64)
         #: How ids are kept.
         self.kind = "<u2" if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else "<u4"
+        # Every byte has a token and nothing is normalised: A's tokens always join to the text.
+        self.lossless = self.a.tokenizer.normalizer is None and set(letters.values()) == {x[0] for x in self.bytes_a if len(x) == 1}
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.recent: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _checked(self, units: list[str], ids_a: list[bytes], ids_b: list[list[int]]) -> list[tuple[bytes, bytes] | None]:
         """Ids of each unit; None if the tokens' bytes aren't those of a space and the unit."""
         out: list[tuple[bytes, bytes] | None] = []
+        of_b = self.bytes_b.__getitem__
         for unit, a, b in zip(units, ids_a, ids_b):
             want = b" " + unit.encode()
-            same = b"".join([self.bytes_b[i] for i in b]) == want and b"".join([self.bytes_a[i] for i in np.frombuffer(a, "<u4").tolist()]) == want
-            out.append((a, np.array(b, "<u4").tobytes()) if same else None)
+            same = b"".join(map(of_b, b)) == want and (self.lossless or b"".join([self.bytes_a[i] for i in np.frombuffer(a, "<u4").tolist()]) == want)
+            out.append((a, array("I", b).tobytes()) if same else None)
         return out
 
     def _words(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self._checked(new, self.a.words([" " + w for w in new]), self.b.encode(new) if new else [])))
-        return [self.known[w] for w in words]
+        known, recent = self.known, self.recent
+        if len(recent) > RECENT:
+            recent.clear()
+        new = [w for w in words if w not in known and w not in recent]
+        found = zip(new, self._checked(new, self.a.words([" " + w for w in new]), self.b.encode(new) if new else []))
+        (known if len(known) < REMEMBERED else recent).update(found)
+        return [known[w] if w in known else recent[w] for w in words]
 
     def encode(self, texts: list[str]) -> tuple[list[int], list[np.ndarray]]:
         """The order in which texts are returned, and four arrays: all ids of A, the number of each text, the same of B.
@@ -252,7 +260,7 @@ class Numbers:
 
 
 def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(chunk, docs, n_a, n_b, a, b): a row for each chunk, written once."""
+    """(chunk, docs, n_a, n_b, a, b): a row for each chunk, written once. The ids are packed, as they are shuffled once more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -267,19 +275,21 @@ def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "chunk": pa.array([chunk], pa.int64()), "docs": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                     "n_a": pa.array([n_a], pa.list_(pa.int64())), "n_b": pa.array([n_b], pa.list_(pa.int64())),
-                    "a": pa.array([a.astype(own.kind).tobytes()], pa.binary()), "b": pa.array([b.astype(own.kind).tobytes()], pa.binary())})
+                    "a": pa.array([pa.compress(a.astype(own.kind), "zstd", asbytes=True)], pa.binary()),
+                    "b": pa.array([pa.compress(b.astype(own.kind), "zstd", asbytes=True)], pa.binary())})
                 chunk += 1
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = scratch_dir(docs.sparkSession, "aligned-ids")
     rows = docs.select("doc_id", "text").mapInArrow(run, f"chunk long, docs array<{kind}>, n_a array<long>, n_b array<long>, a binary, b binary")
-    rows.write.option("compression", "zstd").parquet(out)
+    rows.write.parquet(out)
     return docs.sparkSession.read.schema(rows.schema).parquet(out)
 
 
 def _alignment(row: pa.Table | pa.RecordBatch, i: int, own: Tokenizers) -> Alignment:
-    a, b = (np.frombuffer(row[c][i].as_buffer(), own.kind) for c in "ab")
     n_a, n_b = (row[c][i].values.to_numpy() for c in ("n_a", "n_b"))
+    size = np.dtype(own.kind).itemsize
+    a, b = (np.frombuffer(pa.decompress(row[c][i].as_buffer(), int(n.sum()) * size, "zstd"), own.kind) for c, n in (("a", n_a), ("b", n_b)))
     return Alignment(a, n_a, b, n_b, own.width_a, own.width_b)
 
 
