@@ -14,31 +14,34 @@ from changeflow.llm.pfair import mix
 from changeflow.llm.sharding import shuffle_into_shards
 from changeflow.llm.superminhash import drop_near_copies
 from changeflow.llm.toxicity import drop_toxic
-from changeflow.session import materialize
+from changeflow.session import materialize, prepare
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model rejects go."""
-    return drop_toxic(docs, read(spark, sf_dir, "labels"))
+    return drop_toxic(docs, read(prepare(spark), sf_dir, "labels"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id."""
+    prepare(spark)
     return drop_near_copies(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a word of an occurring benchmark window go."""
-    return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, read(prepare(spark), sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once; those of sources below their weight again, until it is met."""
+    prepare(spark)
     return mix(docs).select(*docs.columns)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture in a uniformly random order over 40 shards."""
+    prepare(spark)
     return shuffle_into_shards(docs)
 
 
