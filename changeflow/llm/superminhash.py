@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from changeflow.llm.common import chunks, mix, span_hashes, text_keys, texts_of
+from changeflow.llm.common import byte_slices, chunks, mix, span_hashes, text_keys, texts_of
 from changeflow.llm.components import connected
 from changeflow.session import materialize
 
@@ -109,12 +109,10 @@ def bands(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = texts_of(batch["text"])
-        for lo, hi in chunks([len(t) for t in texts], 4 * CHUNK):
-            sets = shingle_sets(texts[lo:hi])
+        for part in byte_slices(batch, "text", 2 * CHUNK):
+            sets = shingle_sets(texts_of(part["text"]))
             signed = np.concatenate([signatures(sets[a:b]) for a, b in chunks([8 * len(s) for s in sets], CHUNK)])
             keys = bands(signed)
-            part = batch.slice(lo, hi - lo)
             node = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part["doc_id"], "_t": part["_t"], "_u": part["_u"],
