@@ -147,6 +147,47 @@ def test_maximal_repeats_have_all_occurrences_and_cover_what_coverage_says():
     assert reach == repeats.coverage(members, 12)
 
 
+def test_repeats_of_whole_documents_equal_brute_force(spark):
+    docs = [(d, (t or "").encode()) for d, t in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
+    first, twice = {}, set()
+    for _, t in docs:
+        for i in range(len(t) - 399):
+            h = hash(t[i:i + 400])
+            if h in first:
+                twice.add(h)
+            first[h] = None
+    want = []
+    for d, t in docs:
+        covered = np.zeros(len(t) + 1, np.int64)
+        for i in range(len(t) - 399):
+            if hash(t[i:i + 400]) in twice:
+                covered[i] += 1
+                covered[i + 400] -= 1
+        covered = np.cumsum(covered[:-1]) > 0
+        runs = int((np.diff(np.concatenate(([0], covered.astype(int)))) == 1).sum())
+        want.append((d, len(t), int(covered.sum()), runs, hashlib.sha256(np.frombuffer(t, np.uint8)[~covered].tobytes()).hexdigest()))
+    got = repeats.cut_repeats(spark.read.parquet(f"{SF01}/documents.parquet"))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and sum(r[2] for r in want) > 0
+
+
+def test_repeat_groups_have_all_occurrences(spark):
+    """Every window of a group's length around its anchor occurs where the group says, and nowhere else."""
+    rng = random.Random(3)
+    passage = words(rng, 100)
+    texts = [words(rng, 40) + " " + passage[: 700 - 40 * k] + " " + words(rng, 40) for k in range(6)] + [None, "", passage[:399]]
+    docs = table(spark, texts)
+    keys = {tuple(r[1:]): texts[r[0]].encode() for r in docs.select("doc_id", *[F.xxhash64("text"), F.xxhash64(F.lit(7919), "text")]).collect() if texts[r[0]]}
+    found = {}
+    for anchor, number, key, a, b in repeats.repeat_groups(docs).collect():
+        found.setdefault((anchor, number), []).append((keys[tuple(key)], a, b))
+    assert found
+    for places in found.values():
+        [same] = {t[a:b] for t, a, b in places}
+        assert len(same) >= 400 and len(places) == sum(t.count(same) for t in set(keys.values())) > 1
+    assert max(len(p) for p in found.values()) == 6
+    assert repeats.repeat_groups(docs.limit(0)).count() == 0
+
+
 def test_repeats_of_an_empty_table(spark):
     assert repeats.cut_repeats(table(spark, ["a"]).limit(0)).count() == 0
 
