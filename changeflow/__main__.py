@@ -56,22 +56,24 @@ def run(spark: SparkSession, job: str, c: JobConfig):
 
     jobs = {
         "cdc-tables": lambda: tables.cdc_to_tables(rows, c, checkpoint, every, keys_of(c)),
+        "declared-events": lambda: tables.declared_events(
+            rows, c, c.get("row", declared.PRODUCT_ORDER_ROW), [k for k in c.get("keys", "id").split(",") if k], checkpoint, every),
         "json-tables": lambda: tables.json_to_tables(rows, c, checkpoint, every),
-        "keyed-transactions": lambda: tables.keyed_transactions(rows, c.require("sink.path"), checkpoint, every),
+        "keyed-transactions": lambda: tables.keyed_transactions(rows, c.require("sink.path"), checkpoint, every, c.get("dead.path")),
         "transaction-statistics": lambda: streams.transaction_statistics(
             rows, c.require("sink.path"), c.require("stat.path"), checkpoint, every),
         "product-statistics": lambda: streams.product_statistics(
             rows, c.require("sink.path"), c.require("stat.path"), checkpoint, every),
         "access-logs": lambda: streams.access_logs(
             rows, c.require("sink.path"), c.require("dead.path"), checkpoint, every,
-            None if c.flag("processing.time") else "log_time"),
+            None if c.flag("processing.time") else "log_time", c.get("sink.table")),
         "envelope-archive": lambda: streams.envelope_archive(
             rows, c.require("sink.path"), checkpoint, every, c.get("flavour", "text"), c.flag("hourly"),
-            c.integer("max.records", 0) or None),
+            c.integer("max.records", 0) or None, c.get("sink.table")),
         "changes-index": lambda: documents.changes_to_index(
-            rows, c.get("row", declared.USER_ORDER_ROW), c.get("keys", "id").split(","), *index(), checkpoint, every, shards),
-        "transactions-index": lambda: documents.transactions_to_index(rows, *index(), checkpoint, every, shards),
-        "wide-cells": lambda: documents.messages_to_cells(rows, cells(), checkpoint, every),
+            rows, c.get("row", declared.USER_ORDER_ROW), c.get("keys", "id").split(","), *index(), checkpoint, every, shards, c.get("dead.path")),
+        "transactions-index": lambda: documents.transactions_to_index(rows, *index(), checkpoint, every, shards, c.get("dead.path")),
+        "wide-cells": lambda: documents.messages_to_cells(rows, cells(), checkpoint, every, letters=c.get("dead.path")),
     }
     if job not in jobs:
         raise SystemExit(f"unknown job {job}; one of catalog-report, {', '.join(jobs)}")

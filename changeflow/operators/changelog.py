@@ -7,10 +7,10 @@ so nothing here depends on arrival or on a single reader.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from changeflow.functions.parsing import once
-from changeflow.operators.schemas import ColumnSpec, conform
+from changeflow.functions.parsing import CORRUPT, SKIPPED, judged, once, open_envelope, unread_fields
+from changeflow.operators.schemas import ColumnSpec, conform, read_json_rows
 from changeflow.session import materialize
 
 META = ("_table", "_kind", "_order", "_ts_ms")
@@ -27,9 +27,17 @@ def row_image(op: str = "op", before: str = "before", after: str = "after") -> C
     return F.when(F.col(op) == "d", F.col(before)).otherwise(F.col(after))
 
 
-def source_order() -> Column:
-    """Total order of events of one source: its own clock and log position."""
-    return F.struct("source.ts_ms", "source.file", "source.pos", "source.row")
+def source_order(position: list[str] | tuple[str, ...] = ()) -> Column:
+    """Total order of events of one source: its own clock and log position, then the place of the message.
+
+    Events that say nothing of their source are ordered by the columns of ``position`` alone.
+    """
+    return F.struct("source.ts_ms", "source.file", "source.pos", "source.row", *position)
+
+
+def table_name() -> Column:
+    """R2: the source table of an opened event, else a fixed name."""
+    return F.coalesce(F.nullif(F.trim("source.table"), F.lit("")), F.lit("unknown_table"))
 
 
 def data_events(opened: DataFrame, order: Column | None = None) -> DataFrame:
@@ -39,24 +47,47 @@ def data_events(opened: DataFrame, order: Column | None = None) -> DataFrame:
     """
     return opened.select(
         "*",
-        F.coalesce(F.nullif(F.trim("source.table"), F.lit("")), F.lit("unknown_table")).alias("_table"),
+        table_name().alias("_table"),
         (source_order() if order is None else order).alias("_order"),
         row_image().alias("_image"),
     ).where("op IS NOT NULL AND _image IS NOT NULL")
 
 
-def slim_events(events: DataFrame) -> DataFrame:
+def event_error(text: Column) -> Column:
+    """Why an opened event is no data change; NULL if it is one, even if some other attribute of it cannot be read."""
+    nothing = F.col("op").isNull() | row_image().isNull()
+    return F.when(text.isNull(), "empty").when(nothing & F.col(CORRUPT).isNotNull(), "not JSON").when(nothing, SKIPPED)
+
+
+def judged_events(batch: DataFrame, schema: T.StructType, upsert: bool = True, position: list[str] | tuple[str, ...] = (),
+                  refuse: Column | None = None) -> DataFrame:
+    """Changelog rows of a declared layout from event texts, with their judgement; nothing is dropped.
+
+    An event without a data change is SKIPPED. With ``upsert=False`` an update is two rows, so accounts count it twice.
+    ``refuse`` is why a readable row cannot be used, NULL if it can.
+    """
+    opened = open_envelope(batch)
+    events = opened.select("*", table_name().alias("_table"), source_order(position).alias("_order"), row_image().alias("_image"),
+                           event_error(F.col("value")).alias("_why"))
+    changes = changelog(events, upsert, keep=("_why", "value"))
+    decoded = read_json_rows(changes, schema, "_image", keep=(*META, "_why", "value"), unread="_unread")
+    why = F.col("_why") if refuse is None else F.coalesce("_why", refuse)
+    return judged(decoded, F.col("value"), why, F.when(why.isNull(), F.col("_unread")).otherwise(F.array().cast("array<string>"))) \
+        .drop("_why", "_unread", "value")
+
+
+def slim_events(events: DataFrame, *more: str) -> DataFrame:
     """Only what the changelog and the schema need: the raw text would double a staged batch."""
-    needed = ("_table", "_order", "ts_ms", "op", "before", "_image", "schema")
+    needed = ("_table", "_order", "ts_ms", "op", "before", "_image", "schema", *more)
     return events.select(*[c for c in needed if c in events.columns])
 
 
-def changelog(events: DataFrame, upsert: bool = True) -> DataFrame:
+def changelog(events: DataFrame, upsert: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """``_table, _kind, _order, _ts_ms, _image`` rows.
 
     With ``upsert=False`` an update yields its old image (-U) and then the new one (+U).
     """
-    meta = [F.col("_table"), F.col("ts_ms").alias("_ts_ms")]
+    meta = [F.col("_table"), F.col("ts_ms").alias("_ts_ms"), *keep]
     if upsert:
         return events.select(*meta, "_order", row_kind("op").alias("_kind"), "_image")
 
@@ -69,15 +100,18 @@ def changelog(events: DataFrame, upsert: bool = True) -> DataFrame:
     return events.select(
         *meta, F.col("_order"),
         F.inline(F.when(split, F.array(before, after)).otherwise(F.array(after))),
-    ).select("_table", "_ts_ms", F.struct("_order.*", "_step").alias("_order"), "_kind", "_image")
+    ).select("_table", "_ts_ms", *keep, F.struct("_order.*", "_step").alias("_order"), "_kind", "_image")
 
 
-def project_images(changes: DataFrame, specs: list[ColumnSpec]) -> DataFrame:
-    """Decode ``_image`` by field name: missing -> NULL, extra ignored."""
+def project_images(changes: DataFrame, specs: list[ColumnSpec], unread: str | None = None) -> DataFrame:
+    """Decode ``_image`` by field name: missing -> NULL, extra ignored. ``unread`` is the name of a column
+    with the fields that have a text but no value."""
     wire = ", ".join(f"`{s.name}` STRING" for s in specs)
     parsed = once(changes, "_row", F.from_json("_image", wire, {"mode": "PERMISSIVE"}))
     keep = [c for c in changes.columns if c != "_image"]
-    return parsed.select(*keep, *[s.decoded(F.col(f"_row.`{s.name}`")).alias(s.name) for s in specs])
+    texts = {s.name: F.col(f"_row.`{s.name}`") for s in specs}
+    return parsed.select(*keep, *[s.decoded(texts[s.name]).alias(s.name) for s in specs],
+                         *unread_fields(unread, {s.name: (s.decoded(texts[s.name]), texts[s.name]) for s in specs}))
 
 
 def latest_per_key(changes: DataFrame, keys: list[str], order: str = "_order") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from changeflow.functions import decode as D
-from changeflow.functions.parsing import json_struct, once
+from changeflow.functions.parsing import json_struct, once, unread_fields
 
 # Base types of change-event schemas.
 BASE_TYPES = {
@@ -233,9 +233,10 @@ def parse_schema_string(text: str) -> T.StructType:
 
 
 def read_json_rows(df: DataFrame, schema: T.StructType, value: str = "value",
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+                   keep: tuple[str, ...] = (), unread: str | None = None) -> DataFrame:
     """Schema-less JSON objects as typed rows: by name, missing -> NULL, extra ignored,
-    nested objects as JSON text in string columns. A column renamed by ``merge`` is read by its own name."""
+    nested objects as JSON text in string columns. A column renamed by ``merge`` is read by its own name.
+    ``unread`` is the name of a column with the fields that have a text but no value."""
     text = F.col(value).cast("string")
     twins = [f for f in schema if f.metadata.get(SOURCE)]
     wire = T.StructType([T.StructField(f.name, T.StringType()) for f in schema if f not in twins])
@@ -243,9 +244,12 @@ def read_json_rows(df: DataFrame, schema: T.StructType, value: str = "value",
     if twins:
         parsed = once(parsed, "_all", F.from_json(text, "map<string,string>"))
 
-    def typed(f: T.StructField) -> Column:
+    def given(f: T.StructField) -> Column:
         source = f.metadata.get(SOURCE)
-        text = F.try_element_at("_all", F.lit(source)) if source else F.col("_row").getField(f.name)
+        return F.try_element_at("_all", F.lit(source)) if source else F.col("_row").getField(f.name)
+
+    def typed(f: T.StructField) -> Column:
+        source, text = f.metadata.get(SOURCE), given(f)
         target = f.dataType.simpleString()
         if target.startswith("timestamp"):
             found = D.decode_json_timestamp(text)
@@ -257,7 +261,7 @@ def read_json_rows(df: DataFrame, schema: T.StructType, value: str = "value",
             found = D.coerce(text, target)
         return found.alias(f.name, metadata=f.metadata) if source else found.alias(f.name)
 
-    return parsed.select(*keep, *[typed(f) for f in schema])
+    return parsed.select(*keep, *[typed(f) for f in schema], *unread_fields(unread, {f.name: (typed(f), given(f)) for f in schema}))
 
 
 # ---------------------------------------------------------------- evolution

@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from changeflow.registry import changes, decoding, schemas, shaping, statistics, storage  # noqa: F401
+    from changeflow.registry import accounts, changes, decoding, schemas, shaping, statistics, storage  # noqa: F401
