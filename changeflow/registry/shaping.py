@@ -135,3 +135,22 @@ def bulk_batches(spark, sf_dir):
         .withColumn("_k", F.col("_id").cast("bigint"))
     batches = search.bulk_batches(search.bulk_lines(actions, "orders"), F.call_function("div", "_k", F.lit(4000)), ["_k"], max_bytes=60000)
     return batches.select("shard", "row_band", "size_band", "n_actions", "n_bytes", F.md5("body").alias("body_md5"))
+
+
+@query("packed_requests", f"""
+    WITH {ACTIONS_SQL}
+    SELECT op, id, octet_length(encode(coalesce(doc, ''))) AS n_bytes, md5(doc) AS doc_md5, true AS within_limits FROM act""")
+def packed_requests(spark, sf_dir):
+    """K6: actions packed into requests in the tasks that have them, and taken out of the requests again."""
+    actions = search.bulk_actions(order_changes(spark, sf_dir), ["o_orderkey"])
+    requests = search.pack_requests(search.bulk_lines(actions, "orders"), max_actions=100, max_bytes=20000)
+    within = (F.col("n_actions") <= 100) & (F.col("n_bytes") <= 20000) & (F.octet_length("body") == F.col("n_bytes"))
+    # An action begins with its head; a document line follows unless it is a delete.
+    head = r'(?m)^(?=\{"(?:index|create|delete)":\{"_index")'
+    each = requests.select(within.alias("within_limits"), F.explode(F.filter(F.split("body", head), lambda a: a != "")).alias("action"))
+    line = F.split("action", "\n", 2)
+    doc = F.nullif(F.rtrim(F.regexp_replace(line[1], "\n$", "")), F.lit(""))
+    name = F.get_json_object(line[0], "$.index._id")
+    return each.select(
+        F.regexp_extract(line[0], '^\\{"(\\w+)"', 1).alias("op"), F.coalesce(name, F.get_json_object(line[0], "$.delete._id")).alias("id"),
+        F.octet_length(F.coalesce(doc, F.lit(""))).cast("long").alias("n_bytes"), F.md5(doc).alias("doc_md5"), "within_limits")

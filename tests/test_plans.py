@@ -78,3 +78,16 @@ def test_write_options():
     assert files.write_options()["branch"] == "main"
     with pytest.raises(ValueError):
         files.write_options("csv")
+
+
+def test_requests_are_packed_without_shuffle(spark):
+    from changeflow.sinks import search
+
+    lines = spark.range(0, 5000, 1, 3).select(F.repeat(F.lit("ü"), (F.col("id") % 50).cast("int")).alias("line"), (F.col("id") % 7).alias("_id"))
+    packed = search.pack_requests(lines, max_actions=100, max_bytes=4000)
+    assert not any(word in plan(packed) for word in ("Exchange", "Sort", "Window"))
+    got = packed.collect()
+    assert sum(r["n_actions"] for r in got) == 5000 and max(r["n_actions"] for r in got) <= 100 and max(r["n_bytes"] for r in got) <= 4000
+    assert all(len(r["body"].encode()) == r["n_bytes"] for r in got) and sum(r["n_bytes"] for r in got) == sum(2 * (i % 50) for i in range(5000))
+    [one] = search.pack_requests(spark.createDataFrame([("x" * 9000,)], "line STRING"), max_bytes=4000).collect()
+    assert one["n_bytes"] == 9000 and search.pack_requests(lines.limit(0)).count() == 0
