@@ -27,6 +27,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow.llm.common import byte_slices, mix, worker_cache
@@ -41,10 +42,10 @@ SLICE = 1 << 18
 ROWS = 1 << 19
 FAN = 8
 #: Links that are looked at together. A larger group is looked at by distinct ids.
-LINKS = 1 << 21
+LINKS = 1 << 18
 #: Words whose ids a worker remembers, and words after those, forgotten together.
-REMEMBERED = 150_000
-RECENT = 100_000
+REMEMBERED = 100_000
+RECENT = 60_000
 #: Bits for each key on a level of the hash.
 GAMMA = 2
 
@@ -141,10 +142,23 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return kept[path_a, path_b]
 
 
+class Widths:
+    """What stages after the first need of the tokenizers: the bytes of each id, and how ids are kept."""
+
+    def __init__(self, own: Tokenizers):
+        self.width_a, self.width_b, self.kind = own.width_a, own.width_b, own.kind
+
+    def forget(self) -> Widths:
+        """A reused worker lets the tokenizers and their words go."""
+        worker_cache("tokenizer pairs").clear()
+        return self
+
+
 class Alignment:
     """The groups of a few texts one after the other: ids of both sides, their numbers for each text, and bytes of each id."""
 
     def __init__(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, width_a: np.ndarray, width_b: np.ndarray):
+        self.width_a, self.width_b = len(width_a), len(width_b)
         self.a, self.b = a.astype(np.int64), b.astype(np.int64)
         self.n_a, self.n_b = n_a, n_b
         end_a, end_b = np.cumsum(width_a[self.a]), np.cumsum(width_b[self.b])
@@ -190,15 +204,14 @@ class Alignment:
 
     def documents_of_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct pairs and how many of the texts hold each."""
-        found = [np.zeros((0, 2), np.int64)]
+        # One number for a text and a pair.
+        each = self.width_a * self.width_b
+        found = [np.zeros(0, np.int64)]
         for doc, pair, _ in self.links():
-            order = np.lexsort((doc, pair))
-            both = np.stack((pair[order], doc[order]), axis=1)
-            found.append(both[np.concatenate(([True], (both[1:] != both[:-1]).any(axis=1)))])
-        every = np.concatenate(found)
-        if len(found) > 2:  # a text may lie in several parts
-            every = np.unique(every, axis=0)
-        return np.unique(every[:, 0], return_counts=True)
+            found.append(np.unique(doc * each + (pair >> 32) * self.width_b + (pair & 0xFFFFFFFF)))
+        every = np.unique(np.concatenate(found)) if len(found) > 2 else found[-1]  # a text may lie in several parts
+        pair, n = np.unique(every % each, return_counts=True)
+        return pair // self.width_b << 32 | pair % self.width_b, n
 
     def listings(self, table: list[bytes]) -> Iterator[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of each text. ``table`` is that of listing_table."""
@@ -286,17 +299,17 @@ def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return docs.sparkSession.read.schema(rows.schema).parquet(out)
 
 
-def _alignment(row: pa.Table | pa.RecordBatch, i: int, own: Tokenizers) -> Alignment:
+def _alignment(row: pa.Table | pa.RecordBatch, i: int, own: Widths) -> Alignment:
     n_a, n_b = (row[c][i].values.to_numpy() for c in ("n_a", "n_b"))
     size = np.dtype(own.kind).itemsize
     a, b = (np.frombuffer(pa.decompress(row[c][i].as_buffer(), int(n.sum()) * size, "zstd"), own.kind) for c, n in (("a", n_a), ("b", n_b)))
     return Alignment(a, n_a, b, n_b, own.width_a, own.width_b)
 
 
-def _pairs(chunks: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def _pairs(chunks: DataFrame, widths: Broadcast) -> DataFrame:
     """(chunk, pair, n): the distinct pairs of each chunk and how many of its documents hold them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizers(path_a, path_b)
+        own = widths.value.forget()
         for batch in batches:
             for i in range(batch.num_rows):
                 pair, n = _alignment(batch, i, own).documents_of_pairs()
@@ -414,13 +427,14 @@ def align(docs: DataFrame, path_a: str, path_b: str, per_slice: int = SLICE, row
     """
     local = Tokenizers(path_a, path_b)
     size_a, size_b = len(local.bytes_a), len(local.bytes_b)
+    widths = docs.sparkSession.sparkContext.broadcast(Widths(local))  # bounded by the vocabularies
     del local
     chunks = _tokenised(docs, path_a, path_b)
-    _, answers = pair_counts(_pairs(chunks, path_a, path_b), size_a, per_slice, rows)
+    _, answers = pair_counts(_pairs(chunks, widths), size_a, per_slice, rows)
     kind = chunks.schema["docs"].dataType.elementType.simpleString()
 
     def digest(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = tokenizers(path_a, path_b)
+        own = widths.value.forget()
         kept = worker_cache("listings")
         table = kept.get((size_a, size_b)) or kept.setdefault((size_a, size_b), listing_table(size_a, size_b))
         aligned = _alignment(left, 0, own)

@@ -114,7 +114,7 @@ def test_chunks_and_links_in_parts(spark, monkeypatch):
         return found, {tuple(map(int, x)) for x in zip(*aligned.documents_of_pairs())}
 
     whole = all_links()
-    for links in (1, 7, 100):
+    for links in (3, 7, 100):
         monkeypatch.setattr(A, "LINKS", links)
         assert all_links() == whole
 
