@@ -38,6 +38,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def shielded(df: DataFrame) -> DataFrame:
+    """The table under names that no operator uses inside; by place, so any names will do."""
+    return df.toDF(*[f"c{i}_" for i in range(len(df.columns))])
+
+
+def unshielded(df: DataFrame) -> list[Column]:
+    """The columns of ``shielded(df)`` under their own names."""
+    return [F.col(f"c{i}_").alias(name) for i, name in enumerate(df.columns)]
+
+
 def worker_cache(name: str) -> dict:
     """A dict that outlives a task in a reused Python worker."""
     holder = sys.modules.setdefault("_changeflow_worker", types.ModuleType("_changeflow_worker"))

@@ -102,7 +102,11 @@ def _judged(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` without a hit, all columns kept. A judgement is of the text alone, so all copies go."""
+    """The rows of ``docs`` without a hit, all columns kept. A judgement is of the text alone, so all copies go.
+
+    Null, empty and wordless texts stay, repeated rows too; without items, or items with words, nothing goes; an empty
+    table gives no rows.
+    """
     hit = _judged(docs, items, width).where("contaminated").select("_t", "_u").distinct()
     t, u = text_keys()
     return docs.alias("d").join(hit.alias("h"), [F.col("h._t") == t, F.col("h._u") == u], "left_anti")

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from changeflow.llm.common import arrow_schema
+from changeflow.llm.common import arrow_schema, free_name, shielded, unshielded
 from changeflow.session import materialize
 
 BLOCK_ROWS = 8
@@ -129,12 +129,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     * a null source is a source of its own; a source of ``docs`` without a weight is an error,
       weights of sources without rows are left out; weights must be above 0;
     * rows are told apart by place, so null ids and repeated rows stay as they are;
-    * an empty table gives no rows; columns of any other name are carried along.
+    * an empty table gives no rows; other columns are carried along, and where the table has a column with the name of
+      a new one, the new one has underscores before its name.
     """
-    spark = docs.sparkSession
-    src = F.coalesce(F.col("source").cast("string"), F.lit(NONE))
-    rows = numbered(docs.withColumn("mix_source", src), "mix_source")
-    keys = numbered(docs.select(src.alias("mix_source")), "mix_source")
+    spark, inner = docs.sparkSession, shielded(docs)
+    src = F.coalesce(F.col(f"c{[c.lower() for c in docs.columns].index('source')}_").cast("string"), F.lit(NONE))
+    rows = numbered(inner.withColumn("mix_source", src), "mix_source")
+    keys = numbered(inner.select(src.alias("mix_source")), "mix_source")
     counts = materialize(keys.groupBy("mix_source", "_pid").agg(F.count("*").alias("c")), "counts")
     sizes = {r["mix_source"]: r["n"] for r in counts.groupBy("mix_source").agg(F.sum("c").alias("n")).collect()}
     if weights is None:
@@ -145,7 +146,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
             raise ValueError(f"no weight for {missing}")
     if not sizes:
         kinds = "mix_source string, mix_epoch long, mix_block long, mix_slot long, mix_position long"
-        return docs.limit(0).select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, kinds.split(", "))))
+        return docs.limit(0).select("*", *(F.lit(None).cast(kind).alias(free_name(docs, name)) for name, kind in map(str.split, kinds.split(", "))))
     chosen = {s: weights[s] for s in sizes}
     shares = exact_parts(chosen) if period is None else parts(chosen, period)
     whole = sum(shares.values())
@@ -167,5 +168,5 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
                            F.col("_slot").alias("mix_slot"), (F.col("_slot") * block_rows + F.col("_i")).alias("mix_position"))
     due = [F.col("mix_source") == F.col("_s"), F.col("_row") == F.col("_at")]
     out = at.join(places.where(F.col("mix_position") < total).hint("merge"), due)
-    source = F.when(F.col("mix_source") != NONE, F.col("mix_source")).alias("mix_source")
-    return out.select(*docs.columns, source, "mix_epoch", "mix_block", "mix_slot", "mix_position")
+    source = F.when(F.col("mix_source") != NONE, F.col("mix_source")).alias(free_name(docs, "mix_source"))
+    return out.select(*unshielded(docs), source, *(F.col(c).alias(free_name(docs, c)) for c in ("mix_epoch", "mix_block", "mix_slot", "mix_position")))

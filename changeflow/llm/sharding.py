@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from changeflow.llm.common import arrow_schema, mix
+from changeflow.llm.common import arrow_schema, free_name, mix, shielded, unshielded
 
 SHARDS = 40
 #: Rows of a chunk, the unit that is permuted in one sort.
@@ -90,9 +90,10 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20, chu
     is read twice, as a scan of files does; if it does not, the job fails instead of losing rows.
 
     Nulls, empty texts and repeated rows are rows as any other; fewer rows than shards leave
-    shards empty; an empty table gives no rows; other columns are carried along, names that
-    clash are an error of Spark's.
+    shards empty; an empty table gives no rows; other columns are carried along. If the table has a column
+    ``shard`` or ``slot``, the new one has underscores before its name.
     """
+    whole, df = df, shielded(df)
     sized = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     size = sum((c.cast("long") for c in sized), F.lit(0).cast("long"))
     per_partition = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).collect()
@@ -132,4 +133,5 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20, chu
     places = F.broadcast(spark.createDataFrame(
         [(i, int(s), int(f)) for i, (s, f) in enumerate(zip(shard, first))], "_chunk int, shard int, _first long"))
     out = dealt.withColumn("_inside", inside).join(places, "_chunk")
-    return out.select(*df.columns, "shard", (F.col("_first") + F.col("_inside")).alias("slot"))
+    slot = F.col("_first") + F.col("_inside")
+    return out.select(*unshielded(whole), F.col("shard").alias(free_name(whole, "shard")), slot.alias(free_name(whole, "slot")))

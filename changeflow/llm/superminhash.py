@@ -288,6 +288,6 @@ def drop_near_copies(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     t, u = text_keys()
     same = [F.col("k.doc_id").eqNullSafe(F.col("d.doc_id")), F.col("k._t") == t, F.col("k._u") == u]
     rows = docs.alias("d").join(kept.alias("k"), same)
-    single = rows.where("_copies = 1").select("d.*")
-    repeated = rows.where("_copies > 1").select("d.*").dropDuplicates(["doc_id", "text"])
+    single = rows.where(F.col("k._copies") == 1).select("d.*")
+    repeated = rows.where(F.col("k._copies") > 1).select("d.*").dropDuplicates(["doc_id", "text"])
     return single.union(repeated)

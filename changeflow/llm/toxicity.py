@@ -119,9 +119,9 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 
 
 def score(docs: DataFrame, model: DataFrame, name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1; texts that are null or empty have that of no features."""
-    if name in docs.columns:
-        raise ValueError(f"the table has a column {name}")
+    """``docs`` with the probability of label 1; texts that are null or empty have that of no features. If the table
+    has a column ``name``, the new one has underscores before its name."""
+    name = free_name(docs, name)
     row = model.first() or {"at": [], "w": [], "bias": -30.0}
     shared = docs.sparkSession.sparkContext.broadcast((np.array(row["at"], np.int64), np.array(row["w"], np.float32), row["bias"]))
 
@@ -152,6 +152,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a score below the threshold, all columns kept."""
+    """The rows of ``docs`` with a score below the threshold, all columns kept, whatever their names.
+
+    Null and empty texts have no features and stay unless the bias alone rejects them; equal texts have equal scores;
+    repeated rows are judged each; an empty table gives no rows, and without labels nothing is rejected.
+    """
     name = free_name(docs, "toxic_score")
     return score(docs, train(docs, labels), name).where(F.col(name) < threshold).drop(name)
