@@ -30,12 +30,14 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from changeflow.llm.common import byte_slices, mix, worker_cache
+from changeflow.llm.common import byte_slices, chunks, mix, worker_cache
 from changeflow.llm.simple8b import Encoder, beside
 from changeflow.session import materialize, scratch_dir
 
 #: Bytes of the texts of a chunk; a longer text is a chunk of its own.
 CHUNK = 1 << 21
+#: Ids of a row of a chunk; a document is never cut.
+PIECE = 1 << 17
 #: Distinct pairs of a slice, about.
 SLICE = 1 << 18
 #: Rows of a chunk's pairs that one task adds into a vector, about, and vectors that are summed at a time.
@@ -273,7 +275,8 @@ class Numbers:
 
 
 def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(chunk, docs, n_a, n_b, a, b): a row for each chunk, written once. The ids are packed, as they are shuffled once more."""
+    """(chunk, docs, n_a, n_b, a, b): some rows for each chunk, one after the other, written once. The ids are packed, as they
+    are shuffled once more, in pieces that the JVM moves with ease."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -285,11 +288,13 @@ def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for part in byte_slices(batch, "text", CHUNK):
                 order, (a, n_a, b, n_b) = own.encode([t or "" for t in part["text"].to_pylist()])
                 ids = part["doc_id"].take(pa.array(order, pa.int64()))
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array([chunk], pa.int64()), "docs": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                    "n_a": pa.array([n_a], pa.list_(pa.int64())), "n_b": pa.array([n_b], pa.list_(pa.int64())),
-                    "a": pa.array([pa.compress(a.astype(own.kind), "zstd", asbytes=True)], pa.binary()),
-                    "b": pa.array([pa.compress(b.astype(own.kind), "zstd", asbytes=True)], pa.binary())})
+                ends_a, ends_b = np.concatenate(([0], np.cumsum(n_a))), np.concatenate(([0], np.cumsum(n_b)))
+                for lo, hi in chunks((n_a + n_b).tolist(), PIECE):
+                    sides = ((a[ends_a[lo]:ends_a[hi]], n_a[lo:hi]), (b[ends_b[lo]:ends_b[hi]], n_b[lo:hi]))
+                    yield pa.RecordBatch.from_pydict({
+                        "chunk": pa.array([chunk], pa.int64()), "docs": pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), ids.slice(lo, hi - lo)),
+                        **{f"n_{c}": pa.array([n], pa.list_(pa.int64())) for c, (_, n) in zip("ab", sides)},
+                        **{c: pa.array([pa.compress(x.astype(own.kind), "zstd", asbytes=True)], pa.binary()) for c, (x, _) in zip("ab", sides)}})
                 chunk += 1
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -299,11 +304,14 @@ def _tokenised(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return docs.sparkSession.read.schema(rows.schema).parquet(out)
 
 
-def _alignment(row: pa.Table | pa.RecordBatch, i: int, own: Widths) -> Alignment:
-    n_a, n_b = (row[c][i].values.to_numpy() for c in ("n_a", "n_b"))
-    size = np.dtype(own.kind).itemsize
-    a, b = (np.frombuffer(pa.decompress(row[c][i].as_buffer(), int(n.sum()) * size, "zstd"), own.kind) for c, n in (("a", n_a), ("b", n_b)))
-    return Alignment(a, n_a, b, n_b, own.width_a, own.width_b)
+def _alignment(rows: pa.Table | pa.RecordBatch, lo: int, hi: int, own: Widths) -> Alignment:
+    """The documents of the rows lo to hi - 1."""
+    size, sides = np.dtype(own.kind).itemsize, []
+    for c in "ab":
+        n = [rows[f"n_{c}"][i].values.to_numpy() for i in range(lo, hi)]
+        ids = [np.frombuffer(pa.decompress(rows[c][lo + k].as_buffer(), int(x.sum()) * size, "zstd"), own.kind) for k, x in enumerate(n)]
+        sides += [np.concatenate(ids), np.concatenate(n)]
+    return Alignment(*sides, own.width_a, own.width_b)
 
 
 def _pairs(chunks: DataFrame, widths: Broadcast) -> DataFrame:
@@ -311,10 +319,14 @@ def _pairs(chunks: DataFrame, widths: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = widths.value.forget()
         for batch in batches:
-            for i in range(batch.num_rows):
-                pair, n = _alignment(batch, i, own).documents_of_pairs()
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array(np.full(len(pair), batch["chunk"][i].as_py(), np.int64)), "pair": pa.array(pair, pa.int64()), "n": pa.array(n, pa.int64())})
+            chunk = batch["chunk"].to_numpy()
+            # A chunk that lies in two batches has two rows for some pairs: their sum counts.
+            edges = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), len(chunk)]
+            for lo, hi in zip(edges, edges[1:]):
+                if hi > lo:
+                    pair, n = _alignment(batch, lo, hi, own).documents_of_pairs()
+                    yield pa.RecordBatch.from_pydict({
+                        "chunk": pa.array(np.full(len(pair), chunk[lo], np.int64)), "pair": pa.array(pair, pa.int64()), "n": pa.array(n, pa.int64())})
 
     return materialize(chunks.mapInArrow(run, "chunk long, pair long, n long"), "pairs")
 
@@ -437,22 +449,24 @@ def align(docs: DataFrame, path_a: str, path_b: str, per_slice: int = SLICE, row
         own = widths.value.forget()
         kept = worker_cache("listings")
         table = kept.get((size_a, size_b)) or kept.setdefault((size_a, size_b), listing_table(size_a, size_b))
-        aligned = _alignment(left, 0, own)
         order = np.argsort(pair := right["pair"].to_numpy())
-        pair, count, best = pair[order], right["count"].to_numpy()[order], right["best"].to_numpy(zero_copy_only=False)[order] if right.num_rows else np.zeros(0, bool)
-        n_links, n_best, count_sum = (np.zeros(len(aligned.n_a), np.int64) for _ in range(3))
-        for doc, linked, times in aligned.links():
-            at = np.searchsorted(pair, linked)
-            if (at == len(pair)).any() or (pair[at] != linked).any():
-                raise ValueError("a pair has no count")
-            np.add.at(n_links, doc, times)
-            np.add.at(n_best, doc, best[at] * np.int64(1) * times)
-            np.add.at(count_sum, doc, count[at] * times)
-        digests = [hashlib.sha256(x).hexdigest() if x else "" for x in aligned.listings(table)]
-        return pa.table({"doc_id": left["docs"].combine_chunks().flatten(), **{
-            name: pa.array(values, pa.int64()) for name, values in
-            (("n_a", aligned.n_a), ("n_b", aligned.n_b), ("n_groups", aligned.n_groups()), ("n_links", n_links), ("n_best", n_best), ("count_sum", count_sum))},
-            "groups_sha256": pa.array(digests, pa.string())})
+        pair, count, best = pair[order], right["count"].to_numpy()[order], np.asarray(right["best"]).astype(np.int64)[order]
+        columns: dict[str, list] = {name: [] for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")}
+        for i in range(left.num_rows):
+            aligned = _alignment(left, i, i + 1, own)
+            n_links, n_best, count_sum = (np.zeros(len(aligned.n_a), np.int64) for _ in range(3))
+            for doc, linked, times in aligned.links():
+                at = np.searchsorted(pair, linked)
+                if (at == len(pair)).any() or (pair[at] != linked).any():
+                    raise ValueError("a pair has no count")
+                np.add.at(n_links, doc, times)
+                np.add.at(n_best, doc, best[at] * times)
+                np.add.at(count_sum, doc, count[at] * times)
+            digests = [hashlib.sha256(x).hexdigest() if x else "" for x in aligned.listings(table)]
+            for name, values in zip(columns, (aligned.n_a, aligned.n_b, aligned.n_groups(), n_links, n_best, count_sum, digests)):
+                columns[name].append(pa.array(values, pa.string() if name == "groups_sha256" else pa.int64()))
+        docs = pa.concat_arrays([left["docs"][i].values for i in range(left.num_rows)])
+        return pa.table({"doc_id": docs, **{name: pa.concat_arrays(parts) for name, parts in columns.items()}})
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         digest, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
