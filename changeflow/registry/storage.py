@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from changeflow import fixtures as X
 from changeflow.config import JobConfig
 from changeflow.functions.accesslog import parse_access_log, split_access_log
 from changeflow.operators import changelog as C
 from changeflow.operators.schemas import table_specs
-from changeflow.plans.tables import json_to_tables, read_appended, table_path
+from changeflow.plans.tables import append_by_schema, json_to_tables, read_appended, table_path
 from changeflow.registry import query
 from changeflow.registry.decoding import EVENTS_SQL
 from changeflow.registry.schemas import two_tables
-from changeflow.session import scratch_dir
+from changeflow.session import materialize, scratch_dir
 from changeflow.sinks import files, tables
 from changeflow.sources.streams import as_kafka_rows, kafka_values, replay_stream
 from changeflow.sources.tables import catalog_scan, time_slice
@@ -105,6 +106,27 @@ def json_tables_evolving(spark, sf_dir):
     return read_appended(spark, table_path(config, "evolving")).drop("_batch")
 
 
+@query("tables_by_layout", f"""
+    WITH {EVENTS_SQL}
+    SELECT 'orders' || k % 5 AS table_name, o_custkey AS key, count(*) AS n_rows, CAST(sum(CAST(CAST(c AS DECIMAL(17,0)) / 100 AS DECIMAL(15,2))) AS DECIMAL(25,2)) AS amount
+    FROM ev GROUP BY ALL
+    UNION ALL SELECT 'customer', c_custkey, count(*), CAST(sum(CAST(CAST(round(c_acctbal * 100) AS DECIMAL(17,0)) / 100 AS DECIMAL(12,2))) AS DECIMAL(25,2))
+    FROM customer GROUP BY ALL""")
+def tables_by_layout(spark, sf_dir):
+    """Six tables of two layouts, written by two writes."""
+    events = two_tables(spark, sf_dir)
+    key = F.get_json_object("_image", "$.o_orderkey").cast("bigint")
+    spread = C.slim_events(events).withColumn("_table", F.when(F.col("_table") == "orders", F.concat(F.lit("orders"), (key % 5).cast("string"))).otherwise(F.col("_table")))
+    paths = append_by_schema(materialize(spread, "events"), scratch_dir(spark, "layouts"), upsert=True)
+    parts = []
+    for name, path in paths.items():
+        rows = spark.read.parquet(path)
+        owner, amount = ("c_custkey", "c_acctbal") if name == "customer" else ("o_custkey", "o_totalprice")
+        parts.append(rows.groupBy(F.col(owner).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(amount).cast("decimal(25,2)").alias("amount"))
+                     .select(F.lit(name).alias("table_name"), "key", "n_rows", "amount"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("multi_table_counts", f"""
     WITH {EVENTS_SQL}
     SELECT 'orders' AS table_name, count(*) AS n_rows, CAST(5 AS INTEGER) AS n_columns,

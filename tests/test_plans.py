@@ -91,3 +91,27 @@ def test_requests_are_packed_without_shuffle(spark):
     assert all(len(r["body"].encode()) == r["n_bytes"] for r in got) and sum(r["n_bytes"] for r in got) == sum(2 * (i % 50) for i in range(5000))
     [one] = search.pack_requests(spark.createDataFrame([("x" * 9000,)], "line STRING"), max_bytes=4000).collect()
     assert one["n_bytes"] == 9000 and search.pack_requests(lines.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 12])
+def test_files_have_the_target_size(spark, folder, parts):
+    hashes = F.transform(F.sequence(F.lit(1), F.lit(parts)), lambda i: F.md5(F.concat(F.col("id").cast("string"), F.lit("-"), i.cast("string"))))
+    rows = spark.range(0, 600_000 // parts, 1, 8).select("id", F.array_join(hashes, "").alias("t"))
+    target = 2_000_000
+    files.in_files_of(rows, target).write.parquet(folder)
+    sizes = [r[0] for r in spark.read.format("binaryFile").load(folder).select("length").collect()]
+    assert len(sizes) > 1 and all(target / 2 < size < target * 2 for size in sizes)
+    with pytest.raises(ValueError):
+        files.in_files_of(rows, 0)
+
+
+def test_one_write_for_each_layout(spark, folder, monkeypatch):
+    from changeflow.plans import tables
+    from changeflow.registry.schemas import two_tables
+
+    writes = []
+    monkeypatch.setattr(tables, "write_routed", lambda df, path: writes.append(path) or write_routed(df, path))
+    events = C.slim_events(two_tables(spark, SF)).withColumn("_table", F.when(F.col("_table") == "orders", F.concat(F.lit("o"), (F.col("ts_ms") % 7).cast("string"))).otherwise("c"))
+    paths = tables.append_by_schema(events, folder)
+    assert len(writes) == 2 and len(paths) == 1 + events.where("_table <> 'c'").select("_table").distinct().count()
+    assert spark.read.parquet(paths["c"]).count() == 150
