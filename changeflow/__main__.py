@@ -1,29 +1,37 @@
 """Run a job: ``spark-submit ... -m changeflow <job> --name value ...``.
 
+Parameters come from a group of runtime properties (``--application.properties`` names a JSON file that the driver
+can read, ``--property.group`` the group in it) if there is one, else from the command line.
+
 Sources: ``--kafka.bootstrap.servers`` and ``--kafka.topic`` (with ``--kafka.group.id``,
-``--kafka.startup.mode``, ``--enablessl`` and ``--ssl.*``), or ``--source.path`` for a
-folder of recorded messages. ``--checkpoint.path`` is required; with
+``--kafka.startup.mode``, ``--enablessl`` and ``--ssl.*``), ``--kinesis.stream`` and ``--aws.region`` (with
+``--kinesis.position`` and ``--kinesis.format``, the name of the reader in the package given to spark-submit), or
+``--source.path`` for a folder of recorded messages. ``--checkpoint.path`` is required; with
 ``--checkpoint.interval`` (milliseconds) the job keeps running at that interval, without
 it the job handles what is there and stops.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.config import JobConfig, catalog_conf
+from changeflow.config import PROPERTY_GROUP, JobConfig, catalog_conf, property_group
 from changeflow.plans import documents, streams, tables
 from changeflow.session import prepare
 from changeflow.sinks.search import http_transport
 from changeflow.sources import declared
-from changeflow.sources.streams import kafka_stream, kafka_values, replay_stream
+from changeflow.sources.streams import kafka_stream, kafka_values, kinesis_stream, replay_stream
 
 
 def source(spark: SparkSession, c: JobConfig) -> DataFrame:
     if c.get("source.path"):
         return kafka_values(replay_stream(spark, c.get("source.path")))
+    if c.get("kinesis.stream"):
+        return kinesis_stream(spark, c.get("kinesis.format", "aws-kinesis"), stream=c.require("kinesis.stream"),
+                              region=c.require("aws.region"), position=c.get("kinesis.position", "LATEST"))
     ssl = None
     if c.flag("enablessl"):
         ssl = {k.removeprefix("ssl."): v for k, v in c.values.items() if k.startswith("ssl.")}
@@ -81,10 +89,20 @@ def run(spark: SparkSession, job: str, c: JobConfig):
     return started if isinstance(started, list) else [started]
 
 
+def parameters(argv: list[str]) -> JobConfig:
+    """The group of runtime properties if there is one, else the command line."""
+    given = JobConfig.from_sources(None, argv)
+    group = None
+    if given.get("application.properties") and os.path.exists(given.get("application.properties")):
+        with open(given.get("application.properties")) as file:
+            group = property_group(file.read(), given.get("property.group", PROPERTY_GROUP))
+    return JobConfig.from_sources(group, argv)
+
+
 def main(argv: list[str]) -> None:
     if not argv:
         raise SystemExit(__doc__)
-    config = JobConfig.from_sources(None, argv[1:])
+    config = parameters(argv[1:])
     builder = SparkSession.builder.appName(f"changeflow {argv[0]}")
     if config.get("iceberg.catalog.type") or config.get("sink.target"):
         for key, value in catalog_conf(config).items():

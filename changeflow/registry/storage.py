@@ -83,12 +83,15 @@ def rolled_files(spark, sf_dir):
     return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 2000).alias("within_limit"))
 
 
-@query("json_tables_evolving", """
+EVOLVED_SQL = """
     SELECT CAST(event_id AS INTEGER) AS id, CASE WHEN event_id % 3 = 0 THEN user_id WHEN event_id % 6 = 1 THEN event_id + 3000000000
                                 WHEN event_id % 3 = 1 THEN floor(value * 4) / 4 END::DOUBLE AS amount,
            CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) WHEN event_id % 3 = 2 THEN event_type END AS tag,
            CASE WHEN event_id % 3 = 2 THEN CAST(event_id AS INTEGER) END AS "ID_2",
-           CASE WHEN event_id % 3 = 2 THEN event_id % 2 = 0 END AS flag FROM events""")
+           CASE WHEN event_id % 3 = 2 THEN event_id % 2 = 0 END AS flag FROM events"""
+
+
+@query("json_tables_evolving", EVOLVED_SQL)
 def json_tables_evolving(spark, sf_dir):
     """The job on three runs of messages: integers; then long and fractional numbers; then new
     fields, one of them a name in other case, and text where numbers were."""
@@ -106,6 +109,12 @@ def json_tables_evolving(spark, sf_dir):
     return read_appended(spark, table_path(config, "evolving")).drop("_batch")
 
 
+@query("evolved_column_filter", f"SELECT id, tag, flag FROM ({EVOLVED_SQL}) WHERE flag IS NOT NULL")
+def evolved_column_filter(spark, sf_dir):
+    """The rows that have a value in a column which came with a later batch."""
+    return json_tables_evolving(spark, sf_dir).where("flag IS NOT NULL").select("id", "tag", "flag")
+
+
 @query("tables_by_layout", f"""
     WITH {EVENTS_SQL}
     SELECT 'orders' || k % 5 AS table_name, o_custkey AS key, count(*) AS n_rows, CAST(sum(CAST(CAST(c AS DECIMAL(17,0)) / 100 AS DECIMAL(15,2))) AS DECIMAL(25,2)) AS amount

@@ -20,6 +20,18 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN `{database}`" if database else "SHOW TABLES")
 
 
+def table_description(spark: SparkSession, table: str) -> DataFrame:
+    """(column, type, partition) of a catalog table."""
+    folders = {c.name for c in spark.catalog.listColumns(table) if c.isPartition}
+    rows = [(f.name, f.dataType.simpleString(), f.name in folders) for f in spark.table(table).schema]
+    return spark.createDataFrame(rows, "column STRING, type STRING, partition BOOLEAN")
+
+
+def table_snapshots(spark: SparkSession, table: str, batch: str = "load_batch") -> DataFrame:
+    """What each batch has written into a catalog table that the jobs append to."""
+    return spark.table(table).groupBy(batch).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def refresh_partitions(spark: SparkSession, table: str) -> None:
     """Register folders written since the table was declared."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
