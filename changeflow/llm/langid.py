@@ -24,8 +24,6 @@ from changeflow.session import materialize
 ORDER = 4
 #: Four-character strings of a slice of the model, about, over all languages together.
 MAX_GRAMS = 1_000_000
-#: Documents that calibrate rejection and the score, about.
-CALIBRATION = 2_000
 #: Deviations above the usual cross-entropy from which a text is of no known language.
 REJECT = 6.0
 CHUNK = 1 << 20
@@ -264,19 +262,17 @@ def _slices(counts: DataFrame, max_grams: int) -> Slices:
 
 
 def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Slices:
-    """The model of all documents with a language whose fold is not 0; see _slices for what goes
-    through the driver."""
+    """The model of all documents with a language whose fold is not 0, and what cross-entropy is usual in all of them;
+    see _slices for what goes through the driver."""
     model = _slices(materialize(gram_counts(docs), "grams"), max_grams)
     langs = model.langs
     known = docs.where("lang is not null and text is not null").where(fold() != 0)
-    total = max(known.count(), 1)
-    draw = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 20)) / (1 << 20)
-    sample = known.where(draw < CALIBRATION / total).select("text", F.col("lang").cast("string").alias("lang"))
-    usual = sample.mapInArrow(lambda b: _entropies(model, b), "lang string, e double").groupBy("lang").agg(
+    known = known.select("text", F.col("lang").cast("string").alias("lang"))
+    usual = known.mapInArrow(lambda b: _entropies(model, b), "lang string, e double").groupBy("lang").agg(
         F.avg("e").alias("mean"), F.stddev_pop("e").alias("sd")).collect()
     for r in usual:
         model.usual[langs.index(r["lang"])] = r["mean"], r["sd"]
-    model.usual[(model.usual == 0).all(1)] = np.inf, 1.0  # no sample: reject nothing
+    model.usual[(model.usual == 0).all(1)] = np.inf, 1.0  # no text: reject nothing
     return model
 
 

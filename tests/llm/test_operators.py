@@ -359,6 +359,17 @@ def test_languages_do_not_change_with_the_size_of_slices(spark):
     assert a == b and [r[1] for r in a] == [lang for lang, _ in texts]
 
 
+def test_every_training_text_calibrates(spark):
+    """More texts than the sample had; the held-out ones, texts without letters and of no language do not enter. Symbols of a batch's last text lack their end, so not to the last digit."""
+    rows = [(i, None if i % 9 == 0 else "12" if i % 9 == 1 else "a" * (1 + i % 5) + " b" * (i % 7), None if i % 9 == 2 else "xy"[i % 2]) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    for at, lang in enumerate(model.langs):
+        texts = [t for i, t, l in rows if l == lang and t not in (None, "12") and zlib.crc32(str(i).encode()) % 5]
+        e = model.entropies(texts)[0][:, at].astype(float)
+        assert len(texts) > 1500 and np.allclose(model.usual[at], (e.mean(), e.std()), rtol=1e-3, atol=0)
+
+
 def test_kneser_ney_probabilities_add_up():
     texts = ["the cat sat on the mat", "a bat that sat"]
     key, _, _ = langid.symbols(texts)
