@@ -11,7 +11,7 @@ from changeflow.operators import changelog as C
 from changeflow.operators.routing import select_tables
 from changeflow.registry import query
 from changeflow.registry.decoding import EVENTS_SQL, KIND_SQL, MONEY_SQL, order_changes
-from changeflow.session import scratch_dir
+from changeflow.session import materialize, scratch_dir
 from changeflow.sinks.keyed import KeyedTable
 from changeflow.sources.snapshot import interleave, loaded_rows, read_waves, snapshot_chunks as chunks, within
 from changeflow.sources.streams import as_kafka_rows, kafka_values, replay_stream
@@ -236,7 +236,8 @@ def snapshot_read_by_chunks(spark, sf_dir):
     """Orders are read in four waves of key ranges while they change. The position of the log and
     the table move on with every step of the load; each key has its row of the load, if it had one at the end of its wave,
     and the changes since."""
-    changes = order_changes(spark, sf_dir).drop("_table")
+    # The log is recorded once; every wave and its positions read the record.
+    changes = materialize(order_changes(spark, sf_dir).drop("_table"), "log")
     start, end = changes.agg(F.min("_ts_ms"), F.max("_ts_ms")).first()
     plan = chunks(X.read(spark, sf_dir, "orders"), "o_orderkey", 500, strategy="even")
     n = plan.count()
