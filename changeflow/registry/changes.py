@@ -166,7 +166,8 @@ def restart_idempotent(spark, sf_dir):
 
     def work(batch, batch_id):
         changes = C.changelog(C.data_events(open_envelope(batch.select("value"))))
-        decoded = C.project_images(changes, specs)
+        # Each delivery takes the parsed batch from where it was written.
+        decoded = materialize(C.project_images(changes, specs), "batch")
         table.upsert(decoded)
         table.upsert(decoded)
 
