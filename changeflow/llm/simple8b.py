@@ -16,14 +16,14 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import compress
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from changeflow.llm.common import chunks, texts_of, worker_cache
+from changeflow.llm.common import byte_slices, worker_cache
 from changeflow.session import scratch_dir
 
 #: Ids of a word and bits of an id, by selector from 1.
@@ -32,14 +32,16 @@ ESCAPE = 0
 #: Ids of a block, about; a longer document makes a longer block.
 BLOCK_IDS = 1 << 16
 END = 0
-#: Words that a worker remembers the ids of.
-REMEMBERED = 700_000
-#: Words after those, forgotten together.
-RECENT = 200_000
-CHUNK = 1 << 22
+#: Pieces that a worker remembers the ids of, and the bytes of the longest one.
+REMEMBERED = 1_000_000
+LONGEST = 64
+#: Bytes of texts that are encoded together.
+CHUNK = 1 << 24
 #: Words that are encoded as one text.
 JOINED = 100
 
+#: Ids of a word, by selector.
+COUNTS = np.array([1] + [count for count, _ in LAYOUTS], np.uint8)
 LIMITS = np.array([1 << bits for _, bits in LAYOUTS], np.uint64)
 
 
@@ -69,10 +71,10 @@ def pack(ids: np.ndarray) -> np.ndarray:
             fits, have = fits[: len(fits) - more] & fits[more:], have + more
         fits = fits[:n]
         if fits.any():
-            choice[: len(fits)][fits] = layout + 1
+            np.copyto(choice[: len(fits)], layout + 1, where=fits, casting="unsafe")
         elif layout < 7:
             break  # denser layouts need longer runs of smaller ids
-    steps = np.array([1] + [c for c, _ in LAYOUTS])[choice].tolist()
+    steps = COUNTS[choice].tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
@@ -83,14 +85,15 @@ def pack(ids: np.ndarray) -> np.ndarray:
     words = np.zeros(len(starts) + int((selectors == ESCAPE).sum()), np.uint64)
     padded = np.concatenate((ids, np.zeros(60, np.uint64)))
     for selector in np.unique(selectors).tolist():
-        own = selectors == selector
+        own = np.flatnonzero(selectors == selector)
+        first = starts[own]
         if selector == ESCAPE:
-            words[place[own] + 1] = ids[starts[own]]
+            words[place[own] + 1] = ids[first]
             continue
         count, bits = LAYOUTS[selector - 1]
-        word = np.full(int(own.sum()), selector << 60, np.uint64)
+        word = np.full(len(own), selector << 60, np.uint64)
         for k in range(count):
-            word |= padded[starts[own] + k] << np.uint64(bits * k)
+            word |= padded[k:][first] << np.uint64(bits * k)
         words[place[own]] = word
     return words
 
@@ -109,7 +112,7 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
         selectors, escaped, values, words = selectors[plain], escaped[plain], values[plain], words[plain]
     else:
         escaped, values = np.zeros(len(words), bool), words
-    counts = np.array([1] + [c for c, _ in LAYOUTS])[selectors]
+    counts = COUNTS[selectors].astype(np.int64)
     place = np.concatenate(([0], np.cumsum(counts)))
     out = np.zeros(int(place[-1]), np.uint64)
     for selector in np.unique(selectors[~escaped]).tolist():
@@ -130,21 +133,54 @@ def beside(text: str) -> bool:
     return any(map(text.__contains__, BESIDE_ASCII)) if text.isascii() else BESIDE.search(text) is not None
 
 
-class Known(dict):
-    """Words of frequent use, and behind them those of late."""
-
-    def __init__(self):
-        self.recent: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.recent[word]
+def _bytes(chosen: str | range) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[ord(c) if isinstance(c, str) else c for c in chosen]] = True
+    return table
+
+
+WHITE = _bytes("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ")
+GRAPHIC = _bytes(range(33, 127))
+LETTER = _bytes("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+SIGN = GRAPHIC & ~LETTER & ~_bytes("0123456789")
+#: First bytes of the white space beyond ASCII, and of much else.
+WIDE2, WIDE3 = _bytes([0xC2]), _bytes([0xE1, 0xE2, 0xE3])
+#: After 0xC3: letters, all but the signs of multiplication and division.
+LATIN = _bytes([b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+
+
+def unsure(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Places of a space that has other white space beside it, or a character beyond ASCII that may be white space.
+    ``begin`` are the first bytes of the texts that ``data`` is made of."""
+    space, white = data == 32, WHITE[data]
+    near = np.zeros(len(data), bool)
+    near[:-1] = space[:-1] & (white[1:] | WIDE2[data[1:]] | WIDE3[data[1:]]) | white[:-1] & space[1:]
+    inner = begin[(begin > 0) & (begin < len(data))]
+    near[inner - 1] = False
+    near[2:] |= space[2:] & WIDE2[data[:-2]]
+    near[3:] |= space[3:] & WIDE3[data[:-3]]
+    return np.flatnonzero(near)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where the pre-tokenizer parts texts without neighbouring white space, whatever comes before and after, as flags: before a space,
+    between a letter and a sign, and after a line's end that follows a visible character."""
+    cut = data == 32
+    letter = LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & LATIN[data[1:]]
+    cut[1:] |= letter[:-1] & SIGN[data[1:]]
+    ends = np.flatnonzero(data[:-1] == 10)
+    ends = ends[ends > 0]
+    after = data[ends + 1]
+    cut[ends[GRAPHIC[data[ends - 1]] & (LETTER[after] | (after == 0xC3))] + 1] = True
+    return cut
 
 
 class Encoder:
     """The tokenizer, asked once for each distinct word.
 
-    The pre-tokenizer never joins across a single space between two visible characters, so such a text is the
-    ids of its space-separated pieces, each with the space before it. Any other text, and any
+    The pre-tokenizer never joins across a single space between two visible characters, nor from a letter to a sign, so such a text
+    is the ids of its pieces, each with the space before it. Any other text, and any
     with a special token in it, goes to the tokenizer as a whole.
     """
 
@@ -152,8 +188,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = Known()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: one letter stands for one
         for token, i in vocabulary.items():
@@ -161,6 +197,18 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(256 + n) for n, b in enumerate(hidden)}
+        # Pieces that are remembered, and the ids of all of them one after another.
+        self.known, self.ids, self.sizes = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    @cached_property
+    def by_space(self):
+        """The tokenizer for words of a space and letters, which needs to look for spaces only."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        made = Tokenizer.from_file(self.path)
+        made.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return made
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -190,43 +238,75 @@ class Encoder:
                 at = cut
         return out
 
-    def pieces(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without neighbouring white space: each distinct word is looked up once, its ids are laid out by array operations."""
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        offsets = split.offsets.to_numpy()
-        coded = split.flatten().dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
-        inner = np.ones(len(index), bool)
-        inner[offsets[:-1]] = False
-        vocabulary = coded.dictionary.to_pylist()
-        used = np.zeros(len(vocabulary), bool)
-        used[index[inner]] = True
-        known, recent = self.known, self.known.recent
-        if len(recent) > RECENT:
-            recent.clear()
-        chosen = [" " + w for w in compress(vocabulary, used.tolist())]
-        new = [w for w in chosen if w not in known and w not in recent]
-        (known if len(known) < REMEMBERED else recent).update(zip(new, self.words(new)))
-        # Rows of ids: the used words, then the first piece of each text.
-        rows = [*map(known.__getitem__, chosen), *self.whole([t.partition(" ")[0] for t in texts])]
-        place = np.cumsum(used) - 1
-        index = place[index]
-        index[offsets[:-1]] = len(chosen) + np.arange(len(texts))
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows)) >> 2
-        flat = np.frombuffer(b"".join(rows), "<u4")
-        length = sizes[index]
-        end = np.cumsum(length)
-        step = (np.cumsum(sizes) - sizes)[index] - end + length
-        laid = flat[np.repeat(step, length) + np.arange(end[-1])].tobytes()
-        cuts = [0, *(4 * end[offsets[1:] - 1]).tolist()]
-        return [laid[a:b] for a, b in zip(cuts, cuts[1:])]
+    def lettered(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of a space and letters, one after another, and how many each has."""
+        found = [np.array(self.by_space.encode_batch_fast(["".join(words[lo:lo + JOINED])], add_special_tokens=False)[0].ids, np.uint32)
+                 for lo in range(0, len(words), JOINED)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *found])
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words], dtype=np.int64)
+        return ids, np.diff(np.searchsorted(np.cumsum(self.width[ids]), ends) + 1, prepend=0)
+
+    def rows(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The pieces in another order, their ids one after another, and how many each has."""
+        words: tuple[list[str], list[str], list[str]] = [], [], []
+        for w in pieces.to_pylist():
+            spaced = w[:1] == " "
+            words[0 if spaced and w[1:].isalpha() and (w.isascii() or max(w) < "\u2000") else 1 if spaced and not w[-1].isspace() else 2].append(w)
+        ids, sizes = self.lettered(words[0])
+        rest = self.words(words[1]) + self.whole(words[2])
+        return (pa.array(words[0] + words[1] + words[2], pa.large_string()), np.concatenate((ids, np.frombuffer(b"".join(rest), "<u4"))),
+                np.concatenate((sizes, np.array([len(r) >> 2 for r in rest], np.int64))))
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none), one after another, and how many each has: each distinct piece is looked up once, its
+        ids are laid out by array operations."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+        if len(texts) == 0 or offsets[0] == offsets[-1]:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]: offsets[-1]]
+        offsets = offsets - offsets[0]
+        begin, end = offsets[:-1], offsets[1:]
+        filled = end > begin
+        cut = cuts(data)
+        doubtful = np.unique(np.searchsorted(end, unsure(data, begin), side="right"))
+        whole = np.zeros(len(texts), bool)
+        whole[filled] = data[end[filled] - 1] == 32
+        whole[doubtful] |= np.array([beside(t) for t in texts.take(pa.array(doubtful)).to_pylist()], bool)
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(whole):
+            cut[begin[i]:end[i]] = False
+        cut[begin[filled]] = True
+        at = np.append(np.flatnonzero(cut), len(data))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+        row, ids, sizes = self._looked_up(pieces.dictionary_encode())
+        length = sizes[row]
+        stop = np.cumsum(length)
+        step = (np.cumsum(sizes) - sizes)[row] - stop + length
+        upto = np.concatenate(([0], stop))[np.searchsorted(at, offsets)]
+        return ids[np.repeat(step, length) + np.arange(stop[-1])], np.diff(upto)
+
+    def _looked_up(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The row of each piece, the ids of all rows one after another, and how many each has."""
+        found = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.known), -1).to_numpy()
+        new, new_ids, new_sizes = self.rows(coded.dictionary.filter(pa.array(found < 0)))
+        rows, ids, sizes = pa.concat_arrays([self.known, new]), np.concatenate((self.ids, new_ids)), np.concatenate((self.sizes, new_sizes))
+        place = found.astype(np.int64)
+        place[found < 0] = len(self.known) + pc.index_in(coded.dictionary.filter(pa.array(found < 0)), value_set=new).to_numpy()
+        keep = pc.binary_length(rows).to_numpy() <= LONGEST
+        if len(rows) > REMEMBERED:  # from here on, those of this batch
+            used = np.zeros(len(rows), bool)
+            used[place] = True
+            keep &= used
+        self.known, self.ids, self.sizes = (rows, ids, sizes) if keep.all() else (rows.filter(pa.array(keep)), ids[np.repeat(keep, sizes)], sizes[keep])
+        return place[coded.indices.to_numpy()], ids, sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        plain = [not (beside(t) or t.endswith(" ") or any(s in t for s in self.special)) for t in texts]
-        easy = iter(self.pieces(list(compress(texts, plain)))) if any(plain) else iter(())
-        others = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
-        return [next(easy) if p else next(others) for p in plain]
+        ids, sizes = self.flat(pa.array(texts, pa.large_string()))
+        laid, ends = ids.astype("<u4").tobytes(), np.cumsum(4 * sizes).tolist()
+        return [laid[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def encoder(path: str) -> Encoder:
@@ -251,35 +331,36 @@ def write_ids(docs: DataFrame, out: str, tokenizer: str, end: int = END) -> None
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         part, coder = TaskContext.get().partitionId(), encoder(tokenizer)
         before = number = 0
-        held_ids: list[bytes] = []
         held_docs: list[int | None] = []
-        tail = np.array([end], "<u4").tobytes()
-
-        def block() -> pa.RecordBatch:
-            nonlocal before, number
-            lengths = np.array([len(b) // 4 for b in held_ids], np.int64)
-            ids = np.frombuffer(b"".join(held_ids), "<u4")
-            made = {"part": [part], "block": [number], "before": [before], "n_ids": [len(ids)], "doc_ids": [list(held_docs)],
-                    "offsets": [np.concatenate(([0], np.cumsum(lengths))).tolist()], "words": [pack(ids).astype("<u8").tobytes()]}
-            number, before = number + 1, before + len(ids)
-            held_ids.clear()
-            held_docs.clear()
-            return pa.RecordBatch.from_pydict(made, schema=arrow)
-
-        waiting = 0
+        held_sizes = np.zeros(0, np.int64)
+        held_ids = np.zeros(0, np.uint32)
+
+        def blocks(least: int) -> Iterator[pa.RecordBatch]:
+            """Leading documents of ``least`` ids together, as long as there are."""
+            nonlocal before, number, held_docs, held_sizes, held_ids
+            ends, first, done = np.cumsum(held_sizes), 0, 0
+            while first < len(ends) and ends[-1] - done >= least:
+                last = int(np.searchsorted(ends, done + least)) + 1
+                ids, sizes = held_ids[done: ends[last - 1]], held_sizes[first:last]
+                made = {"part": [part], "block": [number], "before": [before], "n_ids": [len(ids)], "doc_ids": [held_docs[first:last]],
+                        "offsets": [np.concatenate(([0], np.cumsum(sizes))).tolist()], "words": [pack(ids).astype("<u8").tobytes()]}
+                number, before, first, done = number + 1, before + len(ids), last, int(ends[last - 1])
+                yield pa.RecordBatch.from_pydict(made, schema=arrow)
+            held_docs, held_sizes, held_ids = held_docs[first:], held_sizes[first:], held_ids[done:]
+
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            ids = batch["doc_id"].to_pylist()
-            for lo, hi in chunks([len(t) for t in texts], CHUNK):
-                for doc, found in zip(ids[lo:hi], coder.encode(texts[lo:hi])):
-                    held_docs.append(doc)
-                    held_ids.append(found + tail)
-                    waiting += len(found) // 4 + 1
-                    if waiting >= BLOCK_IDS:
-                        yield block()
-                        waiting = 0
+            for some in byte_slices(batch, "text", CHUNK):
+                ids, sizes = coder.flat(some["text"])
+                sizes = sizes + 1
+                own = np.ones(len(ids) + len(sizes), bool)
+                own[np.cumsum(sizes) - 1] = False
+                ended = np.full(len(own), end, np.uint32)
+                ended[own] = ids
+                held_docs += some["doc_id"].to_pylist()
+                held_sizes, held_ids = np.concatenate((held_sizes, sizes)), np.concatenate((held_ids, ended))
+                yield from blocks(BLOCK_IDS)
         if held_docs:
-            yield block()
+            yield from blocks(len(held_ids))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     arrow = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()),
