@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -133,7 +133,8 @@ def beside(text: str) -> bool:
     return any(map(text.__contains__, BESIDE_ASCII)) if text.isascii() else BESIDE.search(text) is not None
 
 
-def _bytes(chosen: str | range) -> np.ndarray:
+def _bytes(chosen: str | Iterable[int]) -> np.ndarray:
+    """Flags of the chosen bytes, by byte."""
     table = np.zeros(256, bool)
     table[[ord(c) if isinstance(c, str) else c for c in chosen]] = True
     return table
